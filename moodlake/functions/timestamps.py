@@ -18,7 +18,6 @@ _CLOCK = r"\d{1,2}:\d{1,2}:\d{1,2}"
 _WEEKDAY = r"(?i)^(mon|tue|wed|thu|fri|sat|sun)\s+"
 _MONTH_DAY = r"(?i)^(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)\s+\d{1,2}\s+"
 _SHAPES = (
-    (rf"{_MONTH_DAY}{_CLOCK}\s+[a-z]{{2,5}}\s+\d{{4}}$", ("MMM d H:m:s zzz yyyy",), True),
     (rf"{_MONTH_DAY}{_CLOCK}\s+(Z|[+-]\d{{4}})\s+\d{{4}}$", ("MMM d H:m:s XX yyyy",), True),
     (rf"{_MONTH_DAY}{_CLOCK}\s+[+-]\d\d:\d\d\s+\d{{4}}$", ("MMM d H:m:s xxx yyyy",), True),
     (rf"^\d{{4}}-\d{{1,2}}-\d{{1,2}}T{_CLOCK}(\.\d{{1,6}})?(Z|[+-]\d\d:\d\d)$",
@@ -29,10 +28,32 @@ _SHAPES = (
     (rf"^\d{{1,2}}/\d{{1,2}}/\d{{4}}\s+{_CLOCK}$", ("d/M/yyyy H:m:s", "M/d/yyyy H:m:s"), False),
 )
 
+_NAMED_ZONE = rf"{_MONTH_DAY}{_CLOCK}\s+[a-z]{{2,5}}\s+\d{{4}}$"
+
+# Offsets of the zone names of RFC 822. Java would take these for
+# regions and apply daylight saving by date instead of by name.
+ZONE_OFFSETS = {
+    "UT": "+0000", "UTC": "+0000", "GMT": "+0000",
+    "EST": "-0500", "EDT": "-0400", "CST": "-0600", "CDT": "-0500",
+    "MST": "-0700", "MDT": "-0600", "PST": "-0800", "PDT": "-0700",
+}
+
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ssxxx"
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 
 
+def _parse_named_zone(dated: Column) -> Column:
+    offsets = F.create_map(*[F.lit(x) for pair in ZONE_OFFSETS.items() for x in pair])
+    zone = F.regexp_extract(dated, r"(?i)\s([a-z]{2,5})\s\d{4}$", 1)
+    offset = F.try_element_at(offsets, F.upper(zone))
+    numeric = F.concat(
+        F.regexp_replace(dated, r"(?i)[a-z]{2,5}\s\d{4}$", ""), offset, F.right(dated, F.lit(5))
+    )
+    return F.when(
+        offset.isNotNull(), F.try_to_timestamp(numeric, F.lit("MMM d H:m:s XX yyyy"))
+    ).otherwise(F.try_to_timestamp(dated, F.lit("MMM d H:m:s zzz yyyy")))
+
+
 def parse_timestamp(c: Column | str) -> Column:
     """The instant in ``c``, or NULL when no format fits.
 
@@ -41,14 +62,15 @@ def parse_timestamp(c: Column | str) -> Column:
     """
     raw = F.regexp_replace(strip(c), r"\s+", " ")
     dated = F.regexp_replace(raw, _WEEKDAY, "")
-    out = None
+    has_weekday = F.rlike(raw, F.lit(_WEEKDAY))
+    out = F.when(has_weekday & F.rlike(dated, F.lit(_NAMED_ZONE)), _parse_named_zone(dated))
     for shape, patterns, needs_weekday in _SHAPES:
         source = dated if needs_weekday else raw
         fits = F.rlike(source, F.lit(shape))
         if needs_weekday:
-            fits = fits & F.rlike(raw, F.lit(_WEEKDAY))
+            fits = has_weekday & fits
         value = F.coalesce(*[F.try_to_timestamp(source, F.lit(p)) for p in patterns])
-        out = F.when(fits, value) if out is None else out.when(fits, value)
+        out = out.when(fits, value)
     return out
 
 

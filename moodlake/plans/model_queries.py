@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from moodlake.functions.predictions import LABELS
@@ -73,29 +74,39 @@ def _(spark, sf_dir):
     return evaluation.agreement(labelled(spark, sf_dir), *_PAIR)
 
 
+_MODELS: dict[tuple[str, str], PipelineModel] = {}
+
+
+def _fitted(spark, sf_dir) -> PipelineModel:
+    """The classifier fitted on the train side of all posts, once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MODELS:
+        _MODELS[key], _seconds = classifier.fit_classifier(hash_split(labelled(spark, sf_dir))[0])
+    return _MODELS[key]
+
+
 @query("train_predict")
 def train_predict(spark, sf_dir):
-    """Fit on the train side of all posts, predict the test side."""
-    train, test = hash_split(labelled(spark, sf_dir))
-    model, _seconds = classifier.fit_classifier(train)
-    return classifier.predict(model, test).select("id", "sentiment_label", "predicted_label", "prediction")
+    """Predictions for the test side."""
+    _train, test = hash_split(labelled(spark, sf_dir))
+    predictions = classifier.predict(_fitted(spark, sf_dir), test)
+    return predictions.select("id", "sentiment_label", "predicted_label", "prediction")
 
 
 @query("train_evaluate")
 def _(spark, sf_dir):
     """Per-class report of the classifier on the test side."""
-    train, test = hash_split(labelled(spark, sf_dir))
-    model, _seconds = classifier.fit_classifier(train)
+    model = _fitted(spark, sf_dir)
+    _train, test = hash_split(labelled(spark, sf_dir))
     predictions = classifier.predict(model, classifier.known_labels_only(test, model))
     return evaluation.class_report(predictions, "sentiment_label", "predicted_label", include_unseen=True)
 
 
 @query("local_model_scoring")
 def _(spark, sf_dir):
-    """The model trained on one side scores all posts in the remote model's place."""
-    rows = labelled(spark, sf_dir)
-    model, _seconds = classifier.fit_classifier(hash_split(rows)[0])
-    scored = classifier.score_with_model(model, rows.select("id", "cleaned_text"))
+    """The fitted model scores all posts in the remote model's place."""
+    rows = labelled(spark, sf_dir).select("id", "cleaned_text")
+    scored = classifier.score_with_model(_fitted(spark, sf_dir), rows)
     return scored.select("id", "sentiment_label", "confidence_score", "inference_error")
 
 

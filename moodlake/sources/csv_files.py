@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import re
 from functools import reduce
 from urllib.parse import unquote
@@ -15,7 +16,7 @@ CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIV
 
 
 def inspect_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """One row per non-empty file: its header line and whether all of it is UTF-8.
+    """One row per non-empty file: its header line (bytes) and whether all of it is UTF-8.
 
     Reads the files as text lines, so large files are split over tasks, and
     only one small row per file and task is shuffled. A UTF-8 character never
@@ -30,7 +31,7 @@ def inspect_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         ).alias("place"),
     )
     return lines.groupBy("file").agg(
-        F.min_by("value", "place").alias("header"),
+        F.min_by(F.col("value").cast("binary"), "place").alias("header"),
         F.every(F.is_valid_utf8("value")).alias("is_utf8"),
     )
 
@@ -40,6 +41,18 @@ def _glob_safe(uri: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
 
 
+def _schema(header: str) -> T.StructType:
+    """All-text schema of one header line. As for a dict of a row, the last of
+    equal names counts; the others, and nameless columns, get stand-in names."""
+    names = next(csv.reader([header]))
+    fields = []
+    for i, name in enumerate(names):
+        later = {n.lower() for n in names[i + 1:]}
+        usable = name and name.lower() not in later
+        fields.append(T.StructField(name if usable else f"_column{i}", T.StringType()))
+    return T.StructType(fields)
+
+
 def _missing(columns: list[str]) -> Column:
     absent = [name for name in schemas.REQUIRED_COLUMNS if name not in columns]
     return F.lit(",".join(absent) or None).cast("string")
@@ -55,7 +68,7 @@ def read_csv(
     """All columns of all files as text, found by header name.
 
     A file that is not UTF-8 throughout is read as Latin-1. Files are grouped
-    by encoding and header, one scan per group, so each file's own header
+    by encoding and header line, one scan per group, so each file's own header
     counts; a column a file lacks is NULL, and ``missing_columns`` names the
     required ones among them. The driver holds one row per file,
     no more than Spark's own file index does.
@@ -66,19 +79,20 @@ def read_csv(
     work that needs more tasks than there are files. ``max_records`` is a
     testing cap on input rows.
     """
-    groups: dict[tuple[bool, str], list[str]] = {}
+    groups: dict[tuple[str, str], list[str]] = {}
     for row in inspect_files(spark, paths).orderBy("file").collect():
-        groups.setdefault((row.is_utf8, row.header), []).append(_glob_safe(row.file))
+        encoding = "UTF-8" if row.is_utf8 else "ISO-8859-1"
+        header = bytes(row.header).decode(encoding).removeprefix("\ufeff").strip("\r")
+        groups.setdefault((encoding, header), []).append(_glob_safe(row.file))
     if not groups:
         return spark.createDataFrame([], schemas.POST).withColumn("missing_columns", _missing(schemas.POST.names))
     scans = []
-    for (is_utf8, _), files in groups.items():
-        scan = (
-            spark.read.options(**CSV_OPTIONS, multiLine=str(multi_line).lower())
-            .option("encoding", "UTF-8" if is_utf8 else "ISO-8859-1")
-            .csv(files)
-        )
-        scans.append(scan.withColumn("missing_columns", _missing(scan.columns)))
+    for (encoding, header), files in groups.items():
+        schema = _schema(header)
+        scan = spark.read.schema(schema).options(
+            **CSV_OPTIONS, multiLine=str(multi_line).lower(), encoding=encoding
+        ).csv(files)
+        scans.append(scan.withColumn("missing_columns", _missing(schema.names)))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
     if max_records is not None:
         rows = rows.limit(max_records)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from moodlake.operators.posts import clean_posts, decode_posts, stored_shape
 
@@ -21,8 +21,13 @@ def enrich(broker_rows: DataFrame, score: Score, keep_error: bool = False) -> Da
     return stored_shape(score(clean_posts(decode_posts(broker_rows))), keep_error)
 
 
-def _trigger(trigger: str | None) -> dict:
-    return {"processingTime": trigger} if trigger else {"availableNow": True}
+def start(
+    writer: DataStreamWriter, checkpoint: str, trigger: str | None, name: str | None
+) -> StreamingQuery:
+    """Start with a checkpoint; without a trigger interval, work off what is there."""
+    writer = writer.option("checkpointLocation", checkpoint)
+    writer = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
+    return (writer.queryName(name) if name else writer).start()
 
 
 def write_stream(
@@ -30,20 +35,17 @@ def write_stream(
     path: str,
     checkpoint: str,
     trigger: str | None = "10 seconds",
-    name: str = "sentiment_parquet_sink",
+    name: str | None = "sentiment_parquet_sink",
 ) -> StreamingQuery:
     """Append to the store, one folder per label. ``trigger=None`` works off what
     is there and stops. Restarting with the same checkpoint resumes."""
-    return (
+    writer = (
         enriched.writeStream.format("parquet")
         .option("path", path)
-        .option("checkpointLocation", checkpoint)
         .partitionBy("sentiment_label")
-        .trigger(**_trigger(trigger))
         .outputMode("append")
-        .queryName(name)
-        .start()
     )
+    return start(writer, checkpoint, trigger, name)
 
 
 def write_stream_batches(
@@ -52,7 +54,7 @@ def write_stream_batches(
     path: str,
     checkpoint: str,
     trigger: str | None = "10 seconds",
-    name: str = "sentiment_batch_sink",
+    name: str | None = "sentiment_batch_sink",
 ) -> StreamingQuery:
     """Like ``write_stream`` with batch-only steps, such as scoring each distinct
     text of a micro-batch once.
@@ -65,13 +67,7 @@ def write_stream_batches(
         target = f"{path}/batch_id={batch_id}"
         to_enriched(batch).write.mode("overwrite").partitionBy("sentiment_label").parquet(target)
 
-    return (
-        broker_rows.writeStream.foreachBatch(store)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**_trigger(trigger))
-        .queryName(name)
-        .start()
-    )
+    return start(broker_rows.writeStream.foreachBatch(store), checkpoint, trigger, name)
 
 
 def run(query: StreamingQuery, timeout: float | None = None) -> bool:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from moodlake.streaming.enrich import _trigger
+from moodlake.streaming.enrich import start
 
 
 def write_updates(
@@ -26,11 +26,7 @@ def write_updates(
         # A handful of rows: one per window or label.
         batch.repartition(1).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    writer = (
-        aggregate.writeStream.foreachBatch(store).outputMode(mode)
-        .option("checkpointLocation", checkpoint).trigger(**_trigger(trigger))
-    )
-    return (writer.queryName(name) if name else writer).start()
+    return start(aggregate.writeStream.foreachBatch(store).outputMode(mode), checkpoint, trigger, name)
 
 
 def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
