@@ -72,6 +72,11 @@ def _indexer(model: PipelineModel) -> StringIndexerModel:
     return next(stage for stage in model.stages if isinstance(stage, StringIndexerModel))
 
 
+def labels(model: PipelineModel) -> list[str]:
+    """The labels in the order of their indices."""
+    return list(_indexer(model).labels)
+
+
 def predict(model: PipelineModel, df: DataFrame, text: str = "cleaned_text") -> DataFrame:
     """Every row of a table or stream with ``probability``, ``prediction`` and
     ``predicted_label``.

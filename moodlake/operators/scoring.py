@@ -91,6 +91,8 @@ def call_scorer(scorer: Scorer, texts: list[str], retry: RetryPolicy) -> list[tu
 
 
 def _scoring_udf(factory: Callable[[], Scorer], retry: RetryPolicy, call_size: int):
+    columns = schemas.SCORE.fieldNames()
+
     @pandas_udf(schemas.SCORE)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = factory()
@@ -101,7 +103,7 @@ def _scoring_udf(factory: Callable[[], Scorer], retry: RetryPolicy, call_size: i
             for start in range(0, len(distinct), call_size):
                 answers += call_scorer(scorer, list(distinct[start:start + call_size]), retry)
             answers.append((None, None, None))
-            table = pd.DataFrame(answers, columns=schemas.SCORE.fieldNames())
+            table = pd.DataFrame(answers, columns=columns)
             yield table.astype({"score": "float32"}).iloc[codes].reset_index(drop=True)
 
     # Calls cost time and may fail: Spark must neither repeat nor move them.

@@ -19,7 +19,7 @@ def read_enriched(spark: SparkSession, path: str, cache: bool = False) -> DataFr
     ``EmptyStore``; finding one row is enough to tell. ``cache`` persists
     before anything is counted, so later counts fill the cache.
     """
-    rows = spark.read.schema(schemas.ENRICHED).parquet(path)
+    rows = spark.read.schema(schemas.ENRICHED).parquet(path).select(*schemas.ENRICHED.fieldNames())
     if cache:
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     if rows.isEmpty():
