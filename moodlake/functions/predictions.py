@@ -48,15 +48,20 @@ def top_prediction(response: Column | str) -> Column:
     that is no JSON, has no candidates or lacks a score is the unavailable case.
     """
     candidates = F.get(F.from_json(_col(response), schemas.MODEL_RESPONSE), F.lit(0))
-    # Comparing (score, -position) makes array_max pick the earliest of ties.
-    ranked = F.transform(candidates, lambda p, i: F.struct(
-        p["score"].alias("score"), (-i).alias("place"), p["label"].alias("label"),
-    ))
-    best = F.array_max(ranked)
-    usable = F.coalesce(F.forall(candidates, lambda p: p["score"].isNotNull()), F.lit(False))
-    found = F.struct(
-        label_name(best["label"]).alias("label"),
-        best["score"].cast("float").alias("score"),
-        F.lit(None).cast("string").alias("error"),
-    )
-    return F.when(usable & best["score"].isNotNull(), found).otherwise(unscored(UNAVAILABLE))
+    # The largest struct is one without a score, if any, else the one with the
+    # highest score and, of ties, the smallest position.
+    best = F.array_max(F.transform(candidates, lambda p, i: F.struct(
+        p["score"].isNull().alias("unusable"), p["score"].alias("score"), (-i).alias("place"),
+        p["label"].alias("label"),
+    )))
+
+    def as_score(b: Column) -> Column:
+        found = F.struct(
+            label_name(b["label"]).alias("label"),
+            b["score"].cast("float").alias("score"),
+            F.lit(None).cast("string").alias("error"),
+        )
+        return F.when(~b["unusable"], found).otherwise(unscored(UNAVAILABLE))
+
+    # Binding ``best`` to a lambda variable parses the answer once per row.
+    return F.get(F.transform(F.array(best), as_score), F.lit(0))

@@ -9,7 +9,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF, IDF, IndexToString, StringIndexer, StringIndexerModel, Tokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from moodlake.functions.predictions import EMPTY_TEXT, unscored
 from moodlake.functions.text import is_blank
@@ -120,11 +120,13 @@ def indexed(predictions: DataFrame, model: PipelineModel, label: str = "sentimen
 
 
 def label_index(df: DataFrame, label: str = "sentiment_label") -> DataFrame:
-    """label, n, index: the indexer's order, most frequent first, ties by name."""
-    model = StringIndexer(inputCol=label, outputCol="label", handleInvalid="skip").fit(df)
-    position = F.array_position(F.lit(list(model.labels)), F.col(label)) - 1
+    """label, n, index in the indexer's order: most frequent first, ties by name.
+
+    The window runs over one row per label, after the aggregation.
+    """
     counts = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("index", position.cast("double"))
+    place = F.row_number().over(Window.orderBy(F.desc("n"), label))
+    return counts.withColumn("index", (place - 1).cast("double"))
 
 
 def save(model: PipelineModel, pipeline_path: str, regression_path: str | None = None) -> None:

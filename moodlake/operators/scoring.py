@@ -147,17 +147,19 @@ def score_distinct(
     text: str = "cleaned_text",
     retry: RetryPolicy = RetryPolicy(),
     call_size: int = 64,
-    hot_share: float = 0.001,
+    hot_share: float = 1e-5,
 ) -> DataFrame:
     """``score``, asking the model once per distinct text of the whole table (batch only).
 
     Worth its shuffles when calls are dear and texts repeat. The answers are
     written to the shared scratch folder once, so that a lost executor repeats
     no call. They return to the rows by text hash: texts holding more than
-    ``hot_share`` of the rows (at most 1/hot_share of them, a few hundred bytes
-    each) by a broadcast join, the others by a shuffled join in which no key is
-    hot. Rows needing no shuffled lookup get keys that spread them evenly.
+    ``hot_share`` of the rows (fewer than 1/hot_share of them, some hundred
+    bytes each) by a broadcast join, the others by a shuffled join in which no
+    key is hot. Rows needing no shuffled lookup get keys that spread them evenly.
     """
+    if not 1e-5 <= hot_share <= 1:
+        raise ValueError("hot_share bounds the broadcast: choose 0.00001 to 1")
     texts = (
         df.filter(~is_blank(text)).groupBy(F.col(text).alias("_text")).agg(F.count(F.lit(1)).alias("_rows"))
     )

@@ -14,18 +14,17 @@ def tokenised(df: DataFrame, text: str = "cleaned_text") -> DataFrame:
 def term_stats(df: DataFrame, text: str = "cleaned_text") -> DataFrame:
     """term, tf, df, idf over all rows with text, with idf = ln((N + 1) / (df + 1)).
 
-    Sorting a document's tokens puts equal ones side by side, so the first of
-    each is known within the row and document frequency needs no shuffle by
-    document; the one shuffle is by term, after partial counts. Only the tokens
-    leave the row, never the array next to each of them.
+    Each row yields its tokens twice, once all and once the distinct ones, so
+    document frequency needs no shuffle by document; the one shuffle is by
+    term, after partial counts. Only single tokens leave the row, never the
+    array next to each of them.
     """
-    ordered = df.select(F.array_sort(tokens(text)).alias("words"))
-    before = F.concat(F.array(F.lit(None).cast("string")), F.col("words"))
-    marked = F.zip_with("words", before, lambda word, last: F.struct(
-        word.alias("term"), (~word.eqNullSafe(last)).cast("bigint").alias("is_first"),
-    ))
-    # `before` is one longer than `words`; its surplus entry has no word.
-    words = ordered.select(F.inline(marked)).filter(F.col("term").isNotNull())
-    counts = words.groupBy("term").agg(F.count(F.lit(1)).alias("tf"), F.sum("is_first").alias("df"))
+    words = df.select(tokens(text).alias("words"))
+    both = words.select(F.posexplode(F.array("words", F.array_distinct("words"))).alias("is_distinct", "words"))
+    single = both.select("is_distinct", F.explode("words").alias("term"))
+    counts = single.groupBy("term").agg(
+        F.count_if(F.col("is_distinct") == 0).alias("tf"),
+        F.count_if(F.col("is_distinct") == 1).alias("df"),
+    )
     n = df.agg(F.count(text)).scalar()
     return counts.withColumn("idf", F.log((n + 1) / (F.col("df") + 1)))

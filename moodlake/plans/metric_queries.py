@@ -187,13 +187,17 @@ def _(spark, sf_dir):
 _STORES: dict[tuple[str, str], str] = {}
 
 
+def _new_store(spark, sf_dir):
+    path = scratch_dir(spark, "store")
+    write_enriched(labelled(spark, sf_dir), path)
+    return path
+
+
 def _store(spark, sf_dir):
     """All labelled posts in an enriched store, written once per session."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STORES:
-        path = scratch_dir(spark, "store")
-        write_enriched(labelled(spark, sf_dir), path)
-        _STORES[key] = path
+        _STORES[key] = _new_store(spark, sf_dir)
     return read_enriched(spark, _STORES[key])
 
 
@@ -203,7 +207,7 @@ def _store(spark, sf_dir):
       sentiment_label, round(confidence_score, 4) AS confidence FROM labelled""",
 )
 def _(spark, sf_dir):
-    return _store(spark, sf_dir).select(
+    return read_enriched(spark, _new_store(spark, sf_dir)).select(
         "id", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "original_text", "cleaned_text",
         "sentiment_label", F.round(F.col("confidence_score").cast("double"), 4).alias("confidence"),
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +41,11 @@ def build_session(
     return spark
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="moodlake-")
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder path below the shared folder named by ``spark.checkpoint.dir``.
 
@@ -50,8 +56,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="moodlake-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/moodlake/{name}-{uuid.uuid4().hex}"
 
 

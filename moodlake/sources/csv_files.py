@@ -58,12 +58,30 @@ def _missing(columns: list[str]) -> Column:
     return F.lit(",".join(absent) or None).cast("string")
 
 
+def _read_by_layout(spark: SparkSession, paths: str | list[str], options: dict[str, str]) -> DataFrame:
+    """One scan per encoding and header, united by column name."""
+    groups: dict[tuple[str, str], list[str]] = {}
+    for row in inspect_files(spark, paths).orderBy("file").collect():
+        encoding = "UTF-8" if row.is_utf8 else "ISO-8859-1"
+        header = bytes(row.header).decode(encoding).removeprefix("\ufeff").strip("\r")
+        groups.setdefault((encoding, header), []).append(_glob_safe(row.file))
+    if not groups:
+        return spark.createDataFrame([], schemas.POST).withColumn("missing_columns", _missing(schemas.POST.names))
+    scans = []
+    for (encoding, header), files in groups.items():
+        schema = _schema(header)
+        scan = spark.read.schema(schema).options(**options, encoding=encoding).csv(files)
+        scans.append(scan.withColumn("missing_columns", _missing(schema.names)))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+
+
 def read_csv(
     spark: SparkSession,
     paths: str | list[str],
     multi_line: bool = True,
     max_records: int | None = None,
     partitions: int | None = None,
+    encoding: str | None = None,
 ) -> DataFrame:
     """All columns of all files as text, found by header name.
 
@@ -78,22 +96,17 @@ def read_csv(
     stream, not at once). ``partitions`` spreads the rows after the scan, for
     work that needs more tasks than there are files. ``max_records`` is a
     testing cap on input rows.
+
+    Judging encodings reads everything once more. Where all files are known to
+    share one encoding and one header, name the ``encoding`` and they are read
+    in a single scan; a file with another header then fails the job.
     """
-    groups: dict[tuple[str, str], list[str]] = {}
-    for row in inspect_files(spark, paths).orderBy("file").collect():
-        encoding = "UTF-8" if row.is_utf8 else "ISO-8859-1"
-        header = bytes(row.header).decode(encoding).removeprefix("\ufeff").strip("\r")
-        groups.setdefault((encoding, header), []).append(_glob_safe(row.file))
-    if not groups:
-        return spark.createDataFrame([], schemas.POST).withColumn("missing_columns", _missing(schemas.POST.names))
-    scans = []
-    for (encoding, header), files in groups.items():
-        schema = _schema(header)
-        scan = spark.read.schema(schema).options(
-            **CSV_OPTIONS, multiLine=str(multi_line).lower(), encoding=encoding
-        ).csv(files)
-        scans.append(scan.withColumn("missing_columns", _missing(schema.names)))
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+    options = {**CSV_OPTIONS, "multiLine": str(multi_line).lower()}
+    if encoding:
+        rows = spark.read.options(**options, encoding=encoding, enforceSchema="false").csv(paths)
+        rows = rows.withColumn("missing_columns", _missing(rows.columns))
+    else:
+        rows = _read_by_layout(spark, paths, options)
     if max_records is not None:
         rows = rows.limit(max_records)
     return rows.repartition(partitions) if partitions else rows

@@ -27,16 +27,19 @@ def read_enriched(spark: SparkSession, path: str, cache: bool = False) -> DataFr
     return rows
 
 
-def write_enriched(rows: DataFrame, path: str, mode: str = "append") -> None:
+def write_enriched(rows: DataFrame, path: str, mode: str = "append", compact: bool = False) -> None:
     """Batch write of enriched posts, for backfills.
 
-    Three labels must not mean three writing tasks: the rebalance hint lets
-    adaptive execution split a label's rows into even pieces. Sorting by time
+    Each task writes its own file per label, without a shuffle. Sorting by time
     inside a file keeps row-group statistics narrow, so time filters skip data.
+    ``compact`` shuffles first, for input in many small pieces; the rebalance
+    hint keeps three labels from becoming three writing tasks, since adaptive
+    execution splits a label's rows into even parts.
     """
+    rows = rows.select(*schemas.ENRICHED.fieldNames())
+    if compact:
+        rows = rows.hint("rebalance", "sentiment_label")
     (
-        rows.select(*schemas.ENRICHED.fieldNames())
-        .hint("rebalance", "sentiment_label")
-        .sortWithinPartitions("sentiment_label", "timestamp")
+        rows.sortWithinPartitions("sentiment_label", "timestamp")
         .write.mode(mode).partitionBy("sentiment_label").parquet(path)
     )

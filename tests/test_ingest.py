@@ -86,6 +86,17 @@ def test_split_scan_without_newlines(spark, folder):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_known_encoding_needs_one_scan(spark, folder):
+    put(folder, "a.csv", HEADER + b'1,x,caf\xe9\n2,x,"a\nb"\n')
+    put(folder, "b.csv", HEADER + b"3,x,c\n")
+    rows = read_csv(spark, folder, encoding="ISO-8859-1")
+    assert {r.id: r.tweet_text for r in rows.collect()} == {"1": "café", "2": "a\nb", "3": "c"}
+    assert rows.first().missing_columns is None
+    put(folder, "c.csv", b"tweet_text,id,timestamp\nx,4,x\n")
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, folder, encoding="UTF-8").collect()
+
+
 def test_all_files_empty(spark, folder):
     put(folder, "a.csv", b"")
     assert read_csv(spark, folder).count() == 0

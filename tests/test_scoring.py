@@ -157,9 +157,11 @@ def test_distinct_scoring_with_a_hot_text(spark):
     """A third of all rows share one text; results equal row-wise scoring."""
     texts = ["best of all"] * 400 + ["", None, " "] * 40 + [f"poor {i % 300}" for i in range(680)]
     df = posts(spark, texts)
-    for share in (0.001, 0.1, 1.0):
+    for share in (1e-5, 0.001, 0.1, 1.0):
         got = results(score_distinct(df, keyword_scorer, hot_share=share))
         assert len(got) == len(texts) and got == results(score(df, keyword_scorer))
+    with pytest.raises(ValueError):
+        score_distinct(df, keyword_scorer, hot_share=0)
 
 
 def test_distinct_scoring_asks_once_per_text(spark, folder):

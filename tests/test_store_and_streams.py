@@ -121,6 +121,8 @@ def test_store_guards_and_pruning(spark, folder, broker):
         read_enriched(spark, folder + "/empty")
 
     enriched = enrich.enrich(spark.read.text(broker + "/in"), scorer)
+    write_enriched(enriched, folder + "/compact", compact=True)
+    assert rows(read_enriched(spark, folder + "/compact")) == rows(enriched)
     write_enriched(enriched, folder + "/backfill")
     stored = read_enriched(spark, folder + "/backfill", cache=True)
     assert rows(stored) == rows(enriched)
