@@ -9,6 +9,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF, IDF, IndexToString, StringIndexer, StringIndexerModel, Tokenizer
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window, functions as F
 
 from moodlake.functions.predictions import EMPTY_TEXT, unscored
@@ -30,14 +31,39 @@ class ClassifierParams:
     aggregation_depth: int = 2
 
 
+def _feature_stages(params: ClassifierParams, text: str) -> list:
+    return [
+        Tokenizer(inputCol=text, outputCol="tokens"),
+        HashingTF(inputCol="tokens", outputCol="raw_features", numFeatures=params.features),
+        IDF(inputCol="raw_features", outputCol="features"),
+    ]
+
+
+def vectorise(
+    df: DataFrame, params: ClassifierParams = ClassifierParams(), text: str = "cleaned_text"
+) -> DataFrame:
+    """Add tokens, hashed counts (``raw_features``) and IDF weights (``features``)."""
+    return Pipeline(stages=_feature_stages(params, text)).fit(df).transform(df)
+
+
+def bucket_totals(vectors: DataFrame) -> DataFrame:
+    """tf, df and total weight per bucket that occurs, from vectorised rows."""
+    sums = vectors.agg(
+        Summarizer.sum(F.col("raw_features")).alias("tf"),
+        Summarizer.numNonZeros(F.col("raw_features")).alias("df"),
+        Summarizer.sum(F.col("features")).alias("weight"),
+    )
+    arrays = [vector_to_array(c).alias(c) for c in sums.columns]
+    zipped = sums.select(*arrays).select(F.inline(F.arrays_zip("tf", "df", "weight")))
+    return zipped.filter("tf > 0").select(F.col("tf").cast("bigint"), F.col("df").cast("bigint"), "weight")
+
+
 def build_pipeline(
     params: ClassifierParams = ClassifierParams(), text: str = "cleaned_text", label: str = "sentiment_label"
 ) -> Pipeline:
     """Tokens -> hashed counts -> IDF weights; label -> index; logistic regression."""
     return Pipeline(stages=[
-        Tokenizer(inputCol=text, outputCol="tokens"),
-        HashingTF(inputCol="tokens", outputCol="raw_features", numFeatures=params.features),
-        IDF(inputCol="raw_features", outputCol="features"),
+        *_feature_stages(params, text),
         StringIndexer(inputCol=label, outputCol="label", handleInvalid=params.handle_invalid),
         LogisticRegression(
             featuresCol="features", labelCol="label", family="multinomial",

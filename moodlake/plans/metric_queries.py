@@ -60,18 +60,21 @@ def _(spark, sf_dir):
     return metrics.mix_row(labelled(spark, sf_dir))
 
 
-@query("source_mix_row", _mix_row_sql("source", SOURCES))
+SOURCE_ROW_SQL = _mix_row_sql("source", SOURCES)
+
+
+@query("source_mix_row", SOURCE_ROW_SQL)
 def _(spark, sf_dir):
     return metrics.mix_row(labelled(spark, sf_dir), "source", SOURCES)
 
 
-@query(
-    "kpi_summary",
-    f"""WITH {LABELLED_SQL} SELECT count(*) AS total, round(100 * avg(confidence_score), 1) AS mean_confidence_pct,
+KPI_SQL = f"""WITH {LABELLED_SQL} SELECT count(*) AS total, round(100 * avg(confidence_score), 1) AS mean_confidence_pct,
       round(count(*) * 1000000.0::DOUBLE / (epoch_us(max(ts)) - epoch_us(min(ts))), 6) AS posts_per_second,
       CAST(least(99, floor(count(*) / 800)) AS INTEGER) AS alerts,
-      round(100.0::DOUBLE * count(*) FILTER (sentiment_label = 'Positive') / count(*), 6) AS positive_pct FROM labelled""",
-)
+      round(100.0::DOUBLE * count(*) FILTER (sentiment_label = 'Positive') / count(*), 6) AS positive_pct FROM labelled"""
+
+
+@query("kpi_summary", KPI_SQL)
 def _(spark, sf_dir):
     return metrics.kpi_summary(labelled(spark, sf_dir))
 
@@ -136,13 +139,16 @@ for _view, _n in trend.VIEWS.items():
     _register_view(_view, _n)
 
 
-@query(
-    "recent_feed",
-    f"""WITH {LABELLED_SQL} SELECT id, strftime(ts, '%H:%M:%S') AS at, upper(sentiment_label) AS sentiment,
-      source, printf('%.1f%%', confidence_score * 100) AS confidence FROM labelled ORDER BY ts DESC, id DESC LIMIT 7""",
-)
+FEED_SQL = f"""WITH {LABELLED_SQL} SELECT id, strftime(ts, '%H:%M:%S') AS at, upper(sentiment_label) AS sentiment,
+      source, printf('%.1f%%', confidence_score * 100) AS confidence FROM labelled ORDER BY ts DESC, id DESC LIMIT 7"""
+
+
+@query("recent_feed", FEED_SQL)
 def _(spark, sf_dir):
-    feed = trend.recent_feed(labelled(spark, sf_dir))
+    return shown_feed(trend.recent_feed(labelled(spark, sf_dir)))
+
+
+def shown_feed(feed):
     return feed.select(
         "id", clock("timestamp").alias("at"), F.upper("sentiment_label").alias("sentiment"), "source",
         percent(F.col("confidence_score").cast("double") * 100).alias("confidence"),

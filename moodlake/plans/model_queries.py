@@ -11,6 +11,7 @@ from moodlake.operators import classifier, evaluation
 from moodlake.operators.split import hash_split
 from moodlake.plans.posts_view import LABELLED_SQL, labelled, table
 from moodlake.plans.registry import query
+from moodlake.plans.text_queries import _term_sql
 
 _PAIR = ("sentiment_label", "model_label")
 
@@ -65,6 +66,36 @@ def _(spark, sf_dir):
     return evaluation.weighted_metrics(labelled(spark, sf_dir), *_PAIR)
 
 
+@query(
+    "evaluator_metrics",
+    f"""{_REPORT_SQL} SELECT round(sum(tp) / sum(support), 6) AS accuracy,
+      round(sum(support * precision) / sum(support), 6) AS "weightedPrecision",
+      round(sum(support * recall) / sum(support), 6) AS "weightedRecall",
+      round(sum(support * f1) / sum(support), 6) AS f1 FROM report""",
+)
+def _(spark, sf_dir):
+    """The ML evaluator over the confusion counts, weighted by their rows."""
+    names = F.array(*map(F.lit, LABELS))
+    counts = evaluation.confusion_counts(labelled(spark, sf_dir), *_PAIR).select(
+        F.array_position(names, F.col("actual")).cast("double").alias("label"),
+        F.array_position(names, F.col("predicted")).cast("double").alias("prediction"),
+        F.col("n").cast("double").alias("n"),
+    )
+    return spark.createDataFrame([evaluation.evaluator_metrics(counts, weight="n")])
+
+
+@query(
+    "hashed_term_weights",
+    _term_sql(f"{LABELLED_SQL}, texts AS (SELECT id AS row, cleaned_text FROM labelled)").replace(
+        "SELECT term,", "SELECT"
+    ).replace("      round(ln(", "      round(count(*) * ln(").replace("), 6) AS idf", "), 3) AS weight"),
+)
+def _(spark, sf_dir):
+    """Counts and IDF weights per hash bucket; the posts' few terms share none."""
+    totals = classifier.bucket_totals(classifier.vectorise(labelled(spark, sf_dir)))
+    return totals.withColumn("weight", F.round("weight", 3))
+
+
 @query(
     "scorer_agreement",
     f"""WITH {LABELLED_SQL} SELECT count(*) AS n, count(*) FILTER (sentiment_label = model_label) AS agreeing,
@@ -114,9 +145,9 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """The same classifier on real-length text: document quality from labelled documents."""
     rows = (
-        table(spark, sf_dir, "documents").select("doc_id", clean_text("text").alias("cleaned_text"))
+        table(spark, sf_dir, "documents").select("doc_id", "text")
         .join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id")
-        .select("doc_id", "cleaned_text", F.col("quality").cast("string").alias("quality"))
+        .select("doc_id", clean_text("text").alias("cleaned_text"), F.col("quality").cast("string").alias("quality"))
     )
     train, test = hash_split(rows, "doc_id")
     model, _seconds = classifier.fit_classifier(train, label="quality")

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from moodlake.operators import metrics, trend
 from moodlake.operators.posts import clean_posts, decode_posts, stored_shape
 from moodlake.operators.scoring import keyword_scorer, score, score_distinct
-from moodlake.plans.metric_queries import SENTIMENT_ROW_SQL, THROUGHPUT_SQL, TREND_SQL, start_text, _shown
+from moodlake.plans.metric_queries import (
+    FEED_SQL, KPI_SQL, SENTIMENT_ROW_SQL, SOURCE_ROW_SQL, THROUGHPUT_SQL, TREND_SQL, _shown, shown_feed, start_text,
+)
 from moodlake.plans.posts_view import POSTS_SQL, broker_stream, clean_sql, labelled_from, posts_from_events, stream_table
 from moodlake.plans.registry import query
 from moodlake.plans.scoring_queries import _keyword_scorer_sql
@@ -79,3 +81,22 @@ def _(spark, sf_dir):
 @query("stream_sentiment_mix", SENTIMENT_ROW_SQL)
 def _(spark, sf_dir):
     return _run(spark, metrics.mix_row(_labelled_stream(spark, sf_dir)), [], mode="complete")
+
+
+@query("stream_source_mix", SOURCE_ROW_SQL)
+def _(spark, sf_dir):
+    row = metrics.mix_row(_labelled_stream(spark, sf_dir), "source", metrics.SOURCES)
+    return _run(spark, row, [], mode="complete")
+
+
+@query("stream_kpis", KPI_SQL)
+def _(spark, sf_dir):
+    return _run(spark, metrics.kpi_summary(_labelled_stream(spark, sf_dir)), [], mode="complete")
+
+
+@query("stream_recent_feed", FEED_SQL)
+def _(spark, sf_dir):
+    folder = scratch_dir(spark, "live")
+    posts = _labelled_stream(spark, sf_dir)
+    enrich.run(live.write_feed(posts, f"{folder}/rows", f"{folder}/checkpoint", trigger=None))
+    return shown_feed(live.read_feed(spark, f"{folder}/rows"))

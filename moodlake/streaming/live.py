@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from moodlake.operators.trend import recent_feed
 from moodlake.streaming.enrich import start
 
 
+@contextmanager
+def _shuffle_partitions(spark: SparkSession, n: int):
+    """A query keeps the settings it was started with."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", n)
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def write_updates(
     aggregate: DataFrame,
     path: str,
@@ -15,18 +29,48 @@ def write_updates(
     mode: str = "update",
     trigger: str | None = "10 seconds",
     name: str | None = None,
+    state_partitions: int = 8,
 ) -> StreamingQuery:
     """Store what each micro-batch changed under ``batch_id=<n>``.
 
     A repeated batch replaces its folder. ``mode="complete"`` stores the whole
-    (small) result each time.
+    (small) result each time. Each state partition writes files in every
+    batch; the state is a row per window or label and rows are combined before
+    the shuffle, so a few partitions do however large the stream.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        # A handful of rows: one per window or label.
         batch.repartition(1).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    return start(aggregate.writeStream.foreachBatch(store).outputMode(mode), checkpoint, trigger, name)
+    with _shuffle_partitions(aggregate.sparkSession, state_partitions):
+        return start(aggregate.writeStream.foreachBatch(store).outputMode(mode), checkpoint, trigger, name)
+
+
+def write_feed(
+    posts: DataFrame,
+    path: str,
+    checkpoint: str,
+    n: int = 7,
+    trigger: str | None = "10 seconds",
+    name: str | None = None,
+) -> StreamingQuery:
+    """Keep the newest ``n`` posts: each micro-batch stores the newest of its own
+    and those of the batch before under ``batch_id=<n>``."""
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        rows = recent_feed(batch, n)
+        if batch_id:
+            earlier = batch.sparkSession.read.schema(batch.schema).parquet(f"{path}/batch_id={batch_id - 1}")
+            rows = recent_feed(rows.unionByName(earlier), n)
+        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return start(posts.writeStream.foreachBatch(store), checkpoint, trigger, name)
+
+
+def read_feed(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the newest batch."""
+    rows = spark.read.parquet(path)
+    return rows.filter(F.col("batch_id") == rows.agg(F.max("batch_id")).scalar()).drop("batch_id")
 
 
 def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:

@@ -36,6 +36,10 @@ def test_weighted_metrics_equal_evaluator(pairs):
     row = evaluation.weighted_metrics(pairs).first()
     assert tuple(row) == (0.666667, 0.75, 0.666667, 0.677778)
     assert tuple(evaluation.evaluator_metrics(pairs).values()) == tuple(row)
+    counts = evaluation.confusion_counts(pairs).selectExpr(
+        "actual AS label", "predicted AS prediction", "CAST(n AS DOUBLE) AS n"
+    )
+    assert tuple(evaluation.evaluator_metrics(counts, weight="n").values()) == tuple(row)
     assert evaluation.evaluator_metrics(pairs.withColumnRenamed("label", "other"))["accuracy"] == -1.0
 
 

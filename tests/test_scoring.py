@@ -51,6 +51,15 @@ def test_top_prediction(evaluate):
     assert [tuple(r) for r in evaluate(top_prediction, list(cases))] == list(cases.values())
 
 
+def test_score_json(evaluate):
+    from moodlake.functions.payload import parse_score
+
+    texts = ['{"label":"Positive","score":0.5,"error":null}', '{"label":"Positive","score":"0.5"}', "no"]
+    assert [tuple(r) for r in evaluate(parse_score, texts)] == [
+        ("Positive", 0.5, None), ("Positive", None, None), (None, None, None),
+    ]
+
+
 def test_blank_text_never_reaches_the_scorer(spark):
     def factory():
         def run(texts):

@@ -113,6 +113,27 @@ def test_live_figures_equal_batch(spark, broker, operator, keys):
     assert rows(live.read_latest(spark, broker + "/live", keys)) == rows(operator(batch, None))
 
 
+def test_live_feed_over_several_batches(spark, broker):
+    query = live.write_feed(labelled_stream(spark, broker), broker + "/feed", broker + "/feed-checkpoint", trigger=None)
+    assert enrich.run(query)
+    assert len([d for d in os.listdir(broker + "/feed") if d.startswith("batch_id")]) == 2
+    batch = enrich.enrich(spark.read.text(broker + "/in"), scorer).filter("timestamp is not null")
+    assert rows(live.read_feed(spark, broker + "/feed")) == rows(trend.recent_feed(batch))
+
+
+def test_observed_counts_of_a_stream(spark, broker):
+    from moodlake.operators.ingest import observe_counts, tag_rejects
+
+    posts = decode_posts(spark.readStream.text(broker + "/in"))
+    query = enrich.write_stream(
+        observe_counts(tag_rejects(posts)).withColumn("sentiment_label", F.lit("Neutral")),
+        broker + "/o", broker + "/oc", trigger=None, name="counted",
+    )
+    assert enrich.run(query)
+    seen = [p.observedMetrics["ingest"] for p in query.recentProgress if "ingest" in p.observedMetrics]
+    assert sum(m["read"] for m in seen) == 62 and sum(m["rejected"] for m in seen) == 12
+
+
 def test_store_guards_and_pruning(spark, folder, broker):
     with pytest.raises(AnalysisException):
         read_enriched(spark, folder + "/nothing")
