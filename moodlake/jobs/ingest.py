@@ -20,12 +20,16 @@ def main(argv: list[str] | None = None) -> dict[str, int]:
     target.add_argument("--out", help="folder for JSON lines instead of a broker")
     parser.add_argument("--topic", default=broker.TOPIC)
     parser.add_argument("--max-records", type=int, help="testing cap on input rows")
-    parser.add_argument("--single-line", action="store_true", help="no newlines in fields: split big files")
+    parser.add_argument("--encoding", help="of all files, which then share one header: saves judging them")
+    parser.add_argument("--single-line", action="store_true", help="no field holds a newline")
     parser.add_argument("--now", action="store_true", help="unreadable timestamps become the time of the run")
     args = parser.parse_args(argv)
 
     spark = build_session("moodlake-ingest")
-    rows = read_csv(spark, args.csv, multi_line=not args.single_line, max_records=args.max_records)
+    rows = read_csv(
+        spark, args.csv, multi_line=False if args.single_line else None, max_records=args.max_records,
+        encoding=args.encoding,
+    )
     counts = Observation("ingest")
     tagged = observe_counts(tag_rejects(rows), counts)
     valid = tagged.filter(F.col("reject_reason").isNull())

@@ -16,12 +16,15 @@ CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIV
 
 
 def inspect_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """One row per non-empty file: its header line (bytes) and whether all of it is UTF-8.
+    """One row per non-empty file: its header line (bytes), whether all of it is
+    UTF-8, and whether some field may hold a newline (a line with an odd number
+    of quotes).
 
     Reads the files as text lines, so large files are split over tasks, and
     only one small row per file and task is shuffled. A UTF-8 character never
     spans a line break, so judging lines judges the file.
     """
+    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
     lines = spark.read.text(paths).select(
         "value",
         F.col("_metadata.file_path").alias("file"),
@@ -33,6 +36,7 @@ def inspect_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return lines.groupBy("file").agg(
         F.min_by(F.col("value").cast("binary"), "place").alias("header"),
         F.every(F.is_valid_utf8("value")).alias("is_utf8"),
+        F.some(quotes % 2 == 1).alias("multi_line"),
     )
 
 
@@ -59,18 +63,20 @@ def _missing(columns: list[str]) -> Column:
 
 
 def _read_by_layout(spark: SparkSession, paths: str | list[str], options: dict[str, str]) -> DataFrame:
-    """One scan per encoding and header, united by column name."""
-    groups: dict[tuple[str, str], list[str]] = {}
+    """One scan per encoding, header and kind of line, united by column name."""
+    groups: dict[tuple[str, str, str], list[str]] = {}
     for row in inspect_files(spark, paths).orderBy("file").collect():
         encoding = "UTF-8" if row.is_utf8 else "ISO-8859-1"
         header = bytes(row.header).decode(encoding).removeprefix("\ufeff").strip("\r")
-        groups.setdefault((encoding, header), []).append(_glob_safe(row.file))
+        multi_line = options.get("multiLine", str(row.multi_line).lower())
+        groups.setdefault((encoding, header, multi_line), []).append(_glob_safe(row.file))
     if not groups:
         return spark.createDataFrame([], schemas.POST).withColumn("missing_columns", _missing(schemas.POST.names))
     scans = []
-    for (encoding, header), files in groups.items():
+    for (encoding, header, multi_line), files in groups.items():
         schema = _schema(header)
-        scan = spark.read.schema(schema).options(**options, encoding=encoding).csv(files)
+        layout = {**options, "encoding": encoding, "multiLine": multi_line}
+        scan = spark.read.schema(schema).options(**layout).csv(files)
         scans.append(scan.withColumn("missing_columns", _missing(schema.names)))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
@@ -78,7 +84,7 @@ def _read_by_layout(spark: SparkSession, paths: str | list[str], options: dict[s
 def read_csv(
     spark: SparkSession,
     paths: str | list[str],
-    multi_line: bool = True,
+    multi_line: bool | None = None,
     max_records: int | None = None,
     partitions: int | None = None,
     encoding: str | None = None,
@@ -86,24 +92,27 @@ def read_csv(
     """All columns of all files as text, found by header name.
 
     A file that is not UTF-8 throughout is read as Latin-1. Files are grouped
-    by encoding and header line, one scan per group, so each file's own header
+    by these and by header line, one scan per group, so each file's own header
     counts; a column a file lacks is NULL, and ``missing_columns`` names the
     required ones among them. The driver holds one row per file,
     no more than Spark's own file index does.
 
-    ``multi_line=False`` lets Spark split big files over tasks; use it when no
-    field holds a newline, since otherwise a file is read by one task (as a
-    stream, not at once). ``partitions`` spreads the rows after the scan, for
+    A file whose fields may hold newlines is read by one task, as a stream; any
+    other is split over tasks however big it is. ``multi_line`` overrides that
+    judgement for all files. ``partitions`` spreads the rows after the scan, for
     work that needs more tasks than there are files. ``max_records`` is a
     testing cap on input rows.
 
-    Judging encodings reads everything once more. Where all files are known to
-    share one encoding and one header, name the ``encoding`` and they are read
-    in a single scan; a file with another header then fails the job.
+    Judging files reads everything once more. Where all are known to share one
+    encoding and one header, name the ``encoding`` and they are read in a single
+    scan; a file with another header then fails the job.
     """
-    options = {**CSV_OPTIONS, "multiLine": str(multi_line).lower()}
+    options = dict(CSV_OPTIONS)
+    if multi_line is not None:
+        options["multiLine"] = str(multi_line).lower()
     if encoding:
-        rows = spark.read.options(**options, encoding=encoding, enforceSchema="false").csv(paths)
+        options = {"multiLine": "true", **options, "encoding": encoding, "enforceSchema": "false"}
+        rows = spark.read.options(**options).csv(paths)
         rows = rows.withColumn("missing_columns", _missing(rows.columns))
     else:
         rows = _read_by_layout(spark, paths, options)

@@ -36,6 +36,8 @@ def test_inspect(spark, mixed_folder):
     flags = {os.path.basename(r.file): r.is_utf8 for r in inspect_files(spark, mixed_folder).collect()}
     assert flags.pop("late%20%5B1%5D%20bad.csv") is False
     assert all(flags.values()) and "empty.csv" not in flags
+    spanning = {os.path.basename(r.file) for r in inspect_files(spark, mixed_folder).collect() if r.multi_line}
+    assert spanning == {"newline.csv"}
 
 
 def test_csv_files_of_all_kinds(spark, mixed_folder):
@@ -79,9 +81,10 @@ def test_split_scan_without_newlines(spark, folder):
     put(folder, "a.csv", HEADER + b"".join(b"%d,x,text %d\n" % (i, i) for i in range(2000)))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
-        rows = read_csv(spark, folder, multi_line=False)
-        assert rows.rdd.getNumPartitions() > 4
-        assert rows.select("id").distinct().count() == 2000
+        for rows in (read_csv(spark, folder), read_csv(spark, folder, multi_line=False)):
+            assert rows.rdd.getNumPartitions() > 4
+            assert rows.select("id").distinct().count() == 2000
+        assert read_csv(spark, folder, multi_line=True).rdd.getNumPartitions() == 1
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
