@@ -6,7 +6,7 @@ import argparse
 import importlib
 
 from moodlake.operators.classifier import load, score_with_model
-from moodlake.operators.scoring import score
+from moodlake.operators.scoring import score, score_distinct
 from moodlake.session import build_session
 from moodlake.sources import broker
 from moodlake.sources.store import write_enriched
@@ -19,6 +19,8 @@ def _scoring(args: argparse.Namespace):
         return lambda df: score_with_model(model, df)
     module, _, name = args.scorer.partition(":")
     factory = getattr(importlib.import_module(module), name)
+    if args.distinct:
+        return lambda df: score_distinct(df, factory)
     return lambda df: score(df, factory, tasks=args.tasks)
 
 
@@ -37,6 +39,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--batch", action="store_true", help="reprocess everything as one batch job")
     parser.add_argument("--scorer", default="moodlake.operators.scoring:keyword_scorer", help="module:factory")
     parser.add_argument("--model", help="saved classifier in the scorer's place")
+    parser.add_argument("--distinct", action="store_true", help="ask once per distinct text (of a micro-batch)")
     parser.add_argument("--tasks", type=int, help="spread rows over this many scoring tasks")
     args = parser.parse_args(argv)
     if not args.batch and not args.checkpoint:
@@ -57,9 +60,14 @@ def main(argv: list[str] | None = None) -> None:
         )
         if args.servers else spark.readStream.text(args.messages)
     )
-    enrich.run(enrich.write_stream(
-        enrich.enrich(rows, scoring), args.store, args.checkpoint, None if args.once else args.trigger
-    ))
+    trigger = None if args.once else args.trigger
+    if args.distinct and not args.model:
+        query = enrich.write_stream_batches(
+            rows, lambda batch: enrich.enrich(batch, scoring), args.store, args.checkpoint, trigger
+        )
+    else:
+        query = enrich.write_stream(enrich.enrich(rows, scoring), args.store, args.checkpoint, trigger)
+    enrich.run(query)
 
 
 if __name__ == "__main__":

@@ -155,8 +155,9 @@ def score_distinct(
     written to the shared scratch folder once, so that a lost executor repeats
     no call. They return to the rows by text hash: texts holding more than
     ``hot_share`` of the rows (fewer than 1/hot_share of them, some hundred
-    bytes each) by a broadcast join, the others by a shuffled join in which no
-    key is hot. Rows needing no shuffled lookup get keys that spread them evenly.
+    bytes each) by a broadcast join without moving the rows, the others by a
+    shuffled join in which no key is hot. ``df`` is read three times, so let it
+    be stored rather than dear to compute.
     """
     if not 1e-5 <= hot_share <= 1:
         raise ValueError("hot_share bounds the broadcast: choose 0.00001 to 1")
@@ -175,21 +176,19 @@ def score_distinct(
         "answers",
     )
     total = answers.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("n")).first().n
-    is_hot = F.col("_rows") > total * hot_share
-    hot = answers.filter(is_hot).select("_key", F.col("_answer").alias("_hot"))
-    cold = answers.filter(~is_hot).select(F.col("_key").alias("_lookup"), F.col("_answer").alias("_cold"))
-
-    hashable = [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
-    settled = F.col("_blank") | F.col("_hot").isNotNull()
-    spread = F.concat(F.lit("settled-"), F.xxhash64(*hashable).cast("string"))
-    joined = (
-        df.withColumns({"_blank": is_blank(text), "_key": F.sha2(text, 256)})
-        .join(F.broadcast(hot), "_key", "left")
-        .withColumn("_lookup", F.when(settled, spread).otherwise(F.col("_key")))
-        .join(cold, "_lookup", "left")
+    is_hot = F.col("_rows") > int(total * hot_share)
+    hot = F.broadcast(answers.filter(is_hot).select("_key", "_answer"))
+    cold = answers.filter(~is_hot).select("_key", "_answer")
+
+    keyed = df.withColumn("_key", F.when(~is_blank(text), F.sha2(text, 256)))
+    near = keyed.join(hot, "_key", "left").filter(F.col("_key").isNull() | F.col("_answer").isNotNull())
+    far = (
+        df.filter(~is_blank(text)).withColumn("_key", F.sha2(text, 256))
+        .join(hot, "_key", "left_anti").join(cold, "_key", "left")
     )
-    answer = F.when(F.col("_blank"), unscored(EMPTY_TEXT)).otherwise(F.coalesce("_hot", "_cold"))
-    return with_score(joined.withColumn("_found", answer).select(*df.columns, "_found"), F.col("_found")).drop("_found")
+    answer = F.when(F.col("_key").isNull(), unscored(EMPTY_TEXT)).otherwise(F.col("_answer"))
+    rows = near.unionByName(far).select(*df.columns, answer.alias("_found"))
+    return with_score(rows, F.col("_found")).drop("_found")
 
 
 def score_responses(df: DataFrame, response: str, text: str = "cleaned_text") -> DataFrame:

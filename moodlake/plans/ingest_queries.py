@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from moodlake.functions.payload import post_json
 from moodlake.functions.timestamps import normalise_timestamp
 from moodlake.operators.ingest import messages, normalise, reject_counts, tag_rejects, validate
 from moodlake.operators.posts import clean_posts, decode_posts
@@ -111,6 +112,12 @@ def _(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", props["k"].alias("k"))
 
 
+def _write_csv(rows, path, encoding):
+    options = {k: v for k, v in CSV_OPTIONS.items() if k != "mode"}
+    options |= {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    rows.write.options(**options, encoding=encoding).csv(path)
+
+
 _CSV_TEXT_SQL = r"""concat(replace(tweet_text, '—', '-'), chr(10), '"from", ', source)"""
 
 
@@ -126,13 +133,58 @@ def _(spark, sf_dir):
         F.concat(F.replace("tweet_text", F.lit("—"), F.lit("-")), F.lit('\n"from", '), "source").alias("tweet_text"),
     )
     folder = scratch_dir(spark, "csv")
-    options = {k: v for k, v in CSV_OPTIONS.items() if k != "mode"}
-    options |= {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     is_latin = F.col("source") == "twitter"
-    for part, keep, encoding in (("latin", is_latin, "ISO-8859-1"), ("utf", ~is_latin, "UTF-8")):
-        files = rows.filter(keep).drop("source")
-        files.write.options(**options, encoding=encoding).csv(f"{folder}/{part}")
+    _write_csv(rows.filter(is_latin).drop("source"), f"{folder}/latin", "ISO-8859-1")
+    _write_csv(rows.filter(~is_latin).drop("source"), f"{folder}/utf", "UTF-8")
     valid, _rejects = validate(read_csv(spark, [f"{folder}/latin", f"{folder}/utf"]))
     return normalise(valid).select(
         "id", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("ts"), "tweet_text"
     )
+
+
+_TURN_ID = "concat(CAST(conv_id AS VARCHAR), '-', CAST(turn AS VARCHAR))"
+
+
+def _turns(spark, sf_dir):
+    """Conversation turns as posts; they carry no time of their own."""
+    turns = table(spark, sf_dir, "conversations")
+    return turns.select(
+        F.concat(F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("id"),
+        F.lit("2024-01-02T03:04:05+00:00").alias("timestamp"), F.col("text").alias("tweet_text"),
+    )
+
+
+@query(
+    "ingest_conversations",
+    f"""SELECT {_TURN_ID} AS id, '2024-01-02 03:04:05' AS ts, trim(text, {WHITESPACE_SQL}) AS tweet_text,
+      FALSE AS ts_defaulted FROM conversations WHERE trim(text, {WHITESPACE_SQL}) <> ''""",
+)
+def _(spark, sf_dir):
+    valid, _rejects = validate(_turns(spark, sf_dir))
+    return normalise(valid).select(
+        "id", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("ts"), "tweet_text", "ts_defaulted"
+    )
+
+
+@query(
+    "json_roundtrip_pages",
+    f"""SELECT CAST(page_id AS VARCHAR) AS id, url AS "timestamp", html AS original_text,
+      {clean_sql('html')} AS cleaned_text FROM pages""",
+)
+def _(spark, sf_dir):
+    """Whole web pages through the broker's JSON and back."""
+    pages = table(spark, sf_dir, "pages").select(
+        post_json(F.col("page_id").cast("string"), "url", "html").alias("value")
+    )
+    return clean_posts(decode_posts(pages))
+
+
+@query(
+    "csv_roundtrip_conversations",
+    f"SELECT {_TURN_ID} AS id, trim(text, {WHITESPACE_SQL}) AS tweet_text FROM conversations",
+)
+def _(spark, sf_dir):
+    """Real text with newlines and quotes through CSV and back."""
+    folder = scratch_dir(spark, "csv")
+    _write_csv(_turns(spark, sf_dir), folder, "UTF-8")
+    return normalise(read_csv(spark, folder)).select("id", "tweet_text")

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from moodlake.functions.display import clock, percent, thousands
+from moodlake.functions.text import keyword_sentiment
 from moodlake.operators import metrics, search, trend
 from moodlake.operators.metrics import SOURCES
 from moodlake.operators.split import hash_split, split_bucket
-from moodlake.plans.posts_view import LABELLED_SQL, POSTS_SQL, labelled, posts
+from moodlake.plans.posts_view import LABELLED_SQL, POSTS_SQL, keyword_sql, labelled, posts, table
 from moodlake.plans.registry import query
 from moodlake.session import scratch_dir
 from moodlake.sources.store import read_enriched, write_enriched
@@ -43,6 +44,25 @@ def _(spark, sf_dir):
     return metrics.mix(labelled(spark, sf_dir), "source")
 
 
+@query(
+    "document_source_mix",
+    """SELECT source, count(*) AS n, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 6) AS share_pct
+    FROM documents GROUP BY source""",
+)
+def _(spark, sf_dir):
+    return metrics.mix(table(spark, sf_dir, "documents"), "source")
+
+
+@query(
+    "conversation_sentiment_mix",
+    f"""SELECT {keyword_sql('text', 'CAST(conv_id AS VARCHAR)')} AS sentiment_label, count(*) AS n,
+      round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 6) AS share_pct FROM conversations GROUP BY 1""",
+)
+def _(spark, sf_dir):
+    label = keyword_sentiment("text", "conv_id").alias("sentiment_label")
+    return metrics.mix(table(spark, sf_dir, "conversations").select(label))
+
+
 def _mix_row_sql(by: str, values: tuple[str, ...]) -> str:
     counts = ", ".join(f"count(*) FILTER ({by} = '{v}') AS {v.lower()}_n" for v in values)
     total = " + ".join(f"{v.lower()}_n" for v in values)

@@ -65,7 +65,11 @@ def write_stream_batches(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         target = f"{path}/batch_id={batch_id}"
-        to_enriched(batch).write.mode("overwrite").partitionBy("sentiment_label").parquet(target)
+        batch.persist()  # such steps read their input more than once
+        try:
+            to_enriched(batch).write.mode("overwrite").partitionBy("sentiment_label").parquet(target)
+        finally:
+            batch.unpersist()
 
     return start(broker_rows.writeStream.foreachBatch(store), checkpoint, trigger, name)
 

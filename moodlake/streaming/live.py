@@ -74,7 +74,10 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """The newest stored row per key; without keys the newest row of all."""
+    """The newest stored row per key; without keys the newest row of all.
+
+    Folders of batches whose rows have all been replaced may be removed at will.
+    """
     rows = spark.read.parquet(path)
     values = [c for c in rows.columns if c not in (*keys, "batch_id")]
     newest = F.max_by(F.struct(*values), "batch_id").alias("row")

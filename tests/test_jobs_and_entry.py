@@ -25,6 +25,10 @@ def test_csv_to_report(spark, folder, capsys):
     assert counts == {"read": 200, "accepted": 150, "rejected": 50}
     enrich.main(["--messages", folder + "/messages", "--store", folder + "/store", "--checkpoint", folder + "/ck", "--once"])
     assert spark.read.parquet(folder + "/store").count() == 150
+    enrich.main([
+        "--messages", folder + "/messages", "--store", folder + "/other", "--checkpoint", folder + "/ck2", "--once", "--distinct",
+    ])
+    assert spark.read.parquet(folder + "/other").count() == 150
     figures = train.main([
         folder + "/store", "--model", folder + "/model", "--features", "128", "--max-iter", "10", "--cache",
     ])

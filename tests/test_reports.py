@@ -122,6 +122,15 @@ def test_feed_is_a_top_k(scored):
     assert "TakeOrderedAndProject" in feed._jdf.queryExecution().executedPlan().toString()
 
 
+def test_shuffles_follow_partial_counts(scored):
+    """One exchange per report, and only of counted rows."""
+    for df in (trend.sentiment_trend(scored), metrics.mix_row(scored), metrics.kpi_summary(scored),
+               evaluation.confusion_counts(scored, "sentiment_label", "sentiment_label")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1
+        assert "partial_count" in plan.split("Exchange")[1]
+
+
 def test_search(scored):
     assert search.text_search(scored, "naïve").count() == 10
     assert search.text_search(scored, "na ve").count() == 10

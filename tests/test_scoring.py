@@ -155,6 +155,14 @@ def test_scorer_runs_once_per_row_below_a_filter(spark):
     assert scored.count() == 5
 
 
+def test_scoring_shuffles_only_when_asked(spark):
+    df = posts(spark, ["a", "b"])
+    plans = [
+        score(df, keyword_scorer, tasks=n)._jdf.queryExecution().executedPlan().toString() for n in (None, 3)
+    ]
+    assert "Exchange" not in plans[0] and "RoundRobinPartitioning(3)" in plans[1]
+
+
 def test_keyword_scorer_equals_native_expression(spark):
     texts = ["best thing", "worst thing", "best worst", "best fix", "love poor", "plain", "AMAZING fixes", "the and"]
     df = posts(spark, texts)
@@ -173,6 +181,14 @@ def test_distinct_scoring_with_a_hot_text(spark):
         score_distinct(df, keyword_scorer, hot_share=0)
 
 
+def test_distinct_scoring_of_identical_rows(spark):
+    """Rows that differ in nothing keep their number."""
+    df = spark.createDataFrame([("best",)] * 300 + [("poor",)] * 2 + [("",)] * 5, "cleaned_text string")
+    for share in (1e-5, 0.5, 1.0):
+        counts = score_distinct(df, keyword_scorer, hot_share=share).groupBy("sentiment_label").count().collect()
+        assert dict(map(tuple, counts)) == {"Positive": 300, "Negative": 2, "Neutral": 5}
+
+
 def test_distinct_scoring_asks_once_per_text(spark, folder):
     log = folder + "/asked"
 

@@ -113,6 +113,37 @@ def test_live_figures_equal_batch(spark, broker, operator, keys):
     assert rows(live.read_latest(spark, broker + "/live", keys)) == rows(operator(batch, None))
 
 
+def test_live_state_survives_a_restart(spark, broker):
+    def run():
+        points = trend.sentiment_trend(labelled_stream(spark, broker), watermark="30 days")
+        assert enrich.run(live.write_updates(points, broker + "/live", broker + "/lc", trigger=None))
+        return live.read_latest(spark, broker + "/live", ["window_start"])
+
+    run()
+    write_messages(broker + "/in", "c.txt", range(60, 90))
+    batch = enrich.enrich(spark.read.text(broker + "/in"), scorer).filter("timestamp is not null")
+    assert rows(run()) == rows(trend.sentiment_trend(batch))
+
+
+def test_rows_later_than_the_watermark_are_dropped(spark, folder):
+    os.makedirs(folder + "/in")
+
+    def put(name, *days):
+        with open(f"{folder}/in/{name}", "w") as f:
+            for day in days:
+                f.write(json.dumps({"id": name, "timestamp": f"2024-01-{day:02d}T00:00:00+00:00", "tweet_text": "x"}) + "\n")
+
+    def run():
+        counts = metrics.throughput(labelled_stream(spark, folder), "1 day", watermark="2 days")
+        assert enrich.run(live.write_updates(counts, folder + "/live", folder + "/c", trigger=None))
+        return {r.window_start.day: r.n for r in live.read_latest(spark, folder + "/live", ["window_start"]).collect()}
+
+    put("a", 1, 20)
+    assert run() == {1: 1, 20: 1}
+    put("b", 2, 19, 20)  # the 2nd is too late now, the 19th is not
+    assert run() == {1: 1, 19: 1, 20: 2}
+
+
 def test_live_feed_over_several_batches(spark, broker):
     query = live.write_feed(labelled_stream(spark, broker), broker + "/feed", broker + "/feed-checkpoint", trigger=None)
     assert enrich.run(query)
