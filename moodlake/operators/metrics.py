@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from moodlake.functions.display import alert_badge
 from moodlake.functions.predictions import LABELS
@@ -17,12 +17,13 @@ def class_distribution(df: DataFrame, label: str = "sentiment_label") -> DataFra
 
 
 def mix(df: DataFrame, by: str = "sentiment_label") -> DataFrame:
-    """Rows and percentage share per value of a low-cardinality column.
+    """Rows and percentage share per value of a column.
 
-    The window runs over one row per value, after the aggregation.
+    The total comes from the counts themselves: both read one exchange of
+    partial counts, so the rows are scanned once and no task sees all values.
     """
     counts = df.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy())
+    total = counts.agg(F.sum("n")).scalar()
     return counts.withColumn("share_pct", F.round(100.0 * F.col("n") / total, 6))
 
 

@@ -9,7 +9,7 @@ from moodlake.functions.text import keyword_sentiment
 from moodlake.operators import metrics, search, trend
 from moodlake.operators.metrics import SOURCES
 from moodlake.operators.split import hash_split, split_bucket
-from moodlake.plans.posts_view import LABELLED_SQL, POSTS_SQL, keyword_sql, labelled, posts, table
+from moodlake.plans.posts_view import LABELLED_SQL, POSTS_SQL, keyword_sql, labelled, labelled_from, posts, table
 from moodlake.plans.registry import query
 from moodlake.session import scratch_dir
 from moodlake.sources.store import read_enriched, write_enriched
@@ -165,7 +165,8 @@ FEED_SQL = f"""WITH {LABELLED_SQL} SELECT id, strftime(ts, '%H:%M:%S') AS at, up
 
 @query("recent_feed", FEED_SQL)
 def _(spark, sf_dir):
-    return shown_feed(trend.recent_feed(labelled(spark, sf_dir)))
+    # Pick first, then label: only the seven rows shown are labelled.
+    return shown_feed(labelled_from(trend.recent_feed(posts(spark, sf_dir))))
 
 
 def shown_feed(feed):

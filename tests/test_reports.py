@@ -80,6 +80,14 @@ def test_mixes(scored):
     assert metrics.mix_row(scored.filter("false")).first().positive_pct == 0.0
 
 
+def test_mix_scans_once(spark, scored, folder):
+    scored.write.parquet(folder + "/t")
+    mixed = metrics.mix(spark.read.parquet(folder + "/t"), "id")
+    assert {r.share_pct for r in mixed.collect()} == {10.0}
+    plan = mixed._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in plan and "Window" not in plan
+
+
 def test_kpis(scored):
     row = metrics.kpi_summary(scored).first()
     assert (row.total, row.mean_confidence_pct, row.alerts, row.positive_pct) == (10, 54.5, 0, 50.0)
