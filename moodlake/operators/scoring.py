@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pandas as pd
@@ -90,21 +91,21 @@ def call_scorer(scorer: Scorer, texts: list[str], retry: RetryPolicy) -> list[tu
     return call_scorer(scorer, texts[:half], retry) + call_scorer(scorer, texts[half:], retry)
 
 
-def _scoring_udf(factory: Callable[[], Scorer], retry: RetryPolicy, call_size: int):
+def _scoring_udf(factory: Callable[[], Scorer], retry: RetryPolicy, call_size: int, calls_at_once: int = 1):
     columns = schemas.SCORE.fieldNames()
 
     @pandas_udf(schemas.SCORE)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = factory()
-        for texts in batches:
-            # Each distinct text of the batch is scored once; NULL has code -1.
-            codes, distinct = pd.factorize(texts)
-            answers = []
-            for start in range(0, len(distinct), call_size):
-                answers += call_scorer(scorer, list(distinct[start:start + call_size]), retry)
-            answers.append((None, None, None))
-            table = pd.DataFrame(answers, columns=columns)
-            yield table.astype({"score": "float32"}).iloc[codes].reset_index(drop=True)
+        with ThreadPoolExecutor(calls_at_once) as pool:
+            for texts in batches:
+                # Each distinct text of the batch is scored once; NULL has code -1.
+                codes, distinct = pd.factorize(texts)
+                calls = [list(distinct[i:i + call_size]) for i in range(0, len(distinct), call_size)]
+                answers = [row for rows in pool.map(lambda call: call_scorer(scorer, call, retry), calls) for row in rows]
+                answers.append((None, None, None))
+                table = pd.DataFrame(answers, columns=columns)
+                yield table.astype({"score": "float32"}).iloc[codes].reset_index(drop=True)
 
     # Calls cost time and may fail: Spark must neither repeat nor move them.
     return run.asNondeterministic()
@@ -126,18 +127,22 @@ def score(
     text: str = "cleaned_text",
     retry: RetryPolicy = RetryPolicy(),
     call_size: int = 64,
+    calls_at_once: int = 1,
     tasks: int | None = None,
 ) -> DataFrame:
     """Add sentiment_label, confidence_score and inference_error to every row.
 
     Blank text is answered without the model. No shuffle; equal texts within an
     Arrow batch share one answer. ``tasks`` spreads the rows first, for input
-    with fewer partitions than the model can serve at once.
+    with fewer partitions than the model can serve at once; ``calls_at_once``
+    lets each task wait for several calls of a remote model (the scorer must
+    then bear threads). Store the result before using it twice: Spark may
+    score again what it computes again.
     """
     if tasks:
         df = df.repartition(tasks)
     blank = is_blank(text)
-    asked = _scoring_udf(factory, retry, call_size)(F.when(~blank, F.col(text)))
+    asked = _scoring_udf(factory, retry, call_size, calls_at_once)(F.when(~blank, F.col(text)))
     return with_score(df, F.when(blank, unscored(EMPTY_TEXT)).otherwise(asked))
 
 
@@ -147,6 +152,7 @@ def score_distinct(
     text: str = "cleaned_text",
     retry: RetryPolicy = RetryPolicy(),
     call_size: int = 64,
+    calls_at_once: int = 1,
     hot_share: float = 1e-5,
 ) -> DataFrame:
     """``score``, asking the model once per distinct text of the whole table (batch only).
@@ -165,7 +171,7 @@ def score_distinct(
         df.filter(~is_blank(text)).groupBy(F.col(text).alias("_text")).agg(F.count(F.lit(1)).alias("_rows"))
     )
     answers = scratch_table(
-        score(texts, factory, "_text", retry, call_size).select(
+        score(texts, factory, "_text", retry, call_size, calls_at_once).select(
             F.sha2("_text", 256).alias("_key"), "_rows",
             F.struct(
                 F.col("sentiment_label").alias("label"),

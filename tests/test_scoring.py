@@ -147,6 +147,25 @@ def test_equal_texts_of_a_batch_are_asked_once():
     assert out.label.tolist()[:3] == ["Positive"] * 3 and out.label.isna().tolist() == [False] * 3 + [True] + [False] * 2
 
 
+def test_calls_overlap_and_keep_their_order():
+    import threading
+
+    import pandas as pd
+    from moodlake.operators.scoring import _scoring_udf
+
+    together = threading.Barrier(4, timeout=20)
+
+    def factory():
+        def run(texts):
+            together.wait()  # passes only when four calls are under way
+            return [(t, 0.5) for t in texts]
+        return run
+
+    run = _scoring_udf(factory, RetryPolicy(attempts=1), 2, 4).func
+    [out] = run(iter([pd.Series(list("abcdefgh"))]))
+    assert out.label.tolist() == list("abcdefgh") and out.error.isna().all()
+
+
 def test_scorer_runs_once_per_row_below_a_filter(spark):
     """A filter on the label must not make Spark evaluate the model a second time."""
     scored = score(posts(spark, ["best"] * 5), keyword_scorer).filter("sentiment_label = 'Positive'")
