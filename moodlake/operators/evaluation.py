@@ -46,8 +46,13 @@ def class_report(
     hit = F.when(F.col("actual").eqNullSafe(F.col("predicted")), F.col("n")).otherwise(0)
     zero = F.lit(0).cast("bigint")
     sides = F.array(
-        F.struct(F.col("actual").alias("class"), F.col("n").alias("support"), zero.alias("guessed"), hit.cast("bigint").alias("tp")),
-        F.struct(F.col("predicted").alias("class"), zero.alias("support"), F.col("n").alias("guessed"), zero.alias("tp")),
+        F.struct(
+            F.col("actual").alias("class"), F.col("n").alias("support"), zero.alias("guessed"),
+            hit.cast("bigint").alias("tp"),
+        ),
+        F.struct(
+            F.col("predicted").alias("class"), zero.alias("support"), F.col("n").alias("guessed"), zero.alias("tp"),
+        ),
     )
     sums = (
         confusion_counts(df, actual, predicted).select(F.inline(sides))

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
+# Fixed value: the topic posts travel on.
 TOPIC = "social_sentiment"
 
 

@@ -33,10 +33,17 @@ def inspect_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
             F.monotonically_increasing_id().alias("line"),
         ).alias("place"),
     )
-    return lines.groupBy("file").agg(
-        F.min_by(F.col("value").cast("binary"), "place").alias("header"),
-        F.every(F.is_valid_utf8("value")).alias("is_utf8"),
-        F.some(quotes % 2 == 1).alias("multi_line"),
+    kind = F.struct(F.is_valid_utf8("value").alias("utf8"), (quotes % 2 == 1).alias("odd"))
+    # A file has at most four kinds of lines. Collecting them, instead of two
+    # boolean aggregates, makes Spark aggregate in a hash map; beside the header
+    # text it would otherwise sort all lines first.
+    files = lines.groupBy("file").agg(
+        F.min_by(F.col("value").cast("binary"), "place").alias("header"), F.collect_set(kind).alias("kinds")
+    )
+    return files.select(
+        "file", "header",
+        F.forall("kinds", lambda k: k["utf8"]).alias("is_utf8"),
+        F.exists("kinds", lambda k: k["odd"]).alias("multi_line"),
     )
 
 

@@ -38,6 +38,8 @@ def test_inspect(spark, mixed_folder):
     assert all(flags.values()) and "empty.csv" not in flags
     spanning = {os.path.basename(r.file) for r in inspect_files(spark, mixed_folder).collect() if r.multi_line}
     assert spanning == {"newline.csv"}
+    plan = inspect_files(spark, mixed_folder)._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" in plan and "Sort" not in plan
 
 
 def test_csv_files_of_all_kinds(spark, mixed_folder):
