@@ -23,6 +23,11 @@ CASES = {
     "13/01/2024 03:04:05": D(2024, 1, 13, 3, 4, 5),
     "01/13/2024 03:04:05": D(2024, 1, 13, 3, 4, 5),
     "02/03/2024 03:04:05": D(2024, 3, 2, 3, 4, 5),
+    "12/12/2024 3:4:5": D(2024, 12, 12, 3, 4, 5),
+    "12/31/2024 03:04:05": D(2024, 12, 31, 3, 4, 5),
+    "31/12/2024 03:04:05": D(2024, 12, 31, 3, 4, 5),
+    "02/30/2024 03:04:05": None,
+    "13/13/2024 03:04:05": None,
     "31/02/2024 03:04:05": None,
     "2024-02-30 03:04:05": None,
     "Apr 06 22:19:45 PDT 2009": None,
@@ -40,6 +45,23 @@ def test_formats(evaluate):
     assert got == {k: v and v.strftime("%Y-%m-%d %H:%M:%S.%f") for k, v in CASES.items()}
 
 
+def test_every_slashed_date_reads_as_by_trying_both_orders(evaluate):
+    """Against the plain rule: day first if that is a date, else month first."""
+    pairs = [(a, b) for a in range(0, 33) for b in range(0, 33)]
+
+    def by_rule(a, b):
+        for day, month in ((a, b), (b, a)):
+            try:
+                return D(2024, month, day, 1, 2, 3).strftime("%Y-%m-%d")
+            except ValueError:
+                pass
+
+    got = evaluate(
+        lambda c: F.date_format(parse_timestamp(c), "yyyy-MM-dd"), [f"{a:02d}/{b}/2024 1:02:3" for a, b in pairs]
+    )
+    assert got == [by_rule(a, b) for a, b in pairs]
+
+
 def test_default(evaluate):
     fixed = F.lit("2000-01-01 00:00:00").cast("timestamp")
     out = evaluate(lambda c: iso_text(normalise_timestamp(c, fixed)), ["garbage", "2024-01-02T03:04:05.5Z"])
