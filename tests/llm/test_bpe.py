@@ -1,0 +1,64 @@
+import base64
+import hashlib
+import struct
+
+import public_tokenizers as P
+import pytest
+import tiktoken
+from conftest_paths import SMALL
+
+from moodlake.llm import bpe
+from moodlake.llm.queries import QUERIES
+
+PATH = P.path("byte_bpe_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def library():
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(PATH, "rb"))}
+    return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_query_equals_library(spark, library):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    got = QUERIES["op2_byte_bpe"](spark, SMALL).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        ids = library.encode_ordinary(texts[r.doc_id])
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_edges_and_exact_round_trip(edge_docs, no_docs, library):
+    encoded = bpe.encode(edge_docs, PATH, P.PATTERN)
+    for r in bpe.decode(encoded, PATH, P.PATTERN).collect():
+        assert r.ids == library.encode_ordinary(r.text or "")
+        assert bytes(r.decoded) == (r.text or "").encode()
+    for r in bpe.decode(encoded.drop("piece_sizes"), PATH, P.PATTERN, sizes=None).collect():
+        assert bytes(r.decoded) == (r.text or "").encode()
+    assert bpe.round_trip(no_docs, PATH, P.PATTERN).count() == 0
+    assert bpe.encode(no_docs, PATH, P.PATTERN).count() == 0
+    assert encoded.columns == [*edge_docs.columns, "ids", "piece_sizes"]
+
+
+def test_long_piece_and_small_cache(library, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED_PIECES", 5)
+    c = bpe.Codec(PATH, P.PATTERN)
+    import pyarrow as pa
+
+    for pieces in (["a" * 3000, " the", "abc" * 200, "ß" * 400], [" the", "x", " hello", " world", "!!!!", "zz"], [" the", "\n" * 1000]):
+        ids, sizes = c.encode(pa.array(pieces))
+        assert ids.tolist() == [i for p in pieces for i in library.encode_ordinary(p)]
+        text, _ = c.decode(ids, sizes)
+        assert text.tobytes().decode() == "".join(pieces)
+    for piece in ("a" * 100, "tion" * 30, "mississippi" * 9):
+        assert c.contract(piece.encode()) == library.encode_ordinary(piece)
+
+
+def test_rows_beyond_one_step(spark, library, monkeypatch):
+    frame = spark.createDataFrame([(i, f"some words {i} and more " * (i % 7)) for i in range(300)], "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(bpe, "STEP", 10)
+    assert {r.doc_id: r.n_tokens for r in bpe.round_trip(frame, PATH, P.PATTERN).collect()} == {
+        i: len(library.encode_ordinary(f"some words {i} and more " * (i % 7))) for i in range(300)
+    }
