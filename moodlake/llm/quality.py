@@ -30,7 +30,6 @@ HOST_RULES: dict[str, str] = {
     "symbols": "n_symbols > 0.1 * n_words",
     "duplicate_lines": "n_dup_lines > 0.3 * n_lines",
     "short_words": "word_chars < 3 * n_words",
-    "long_words": "word_chars > 10 * n_words",
 }
 HOST_LIMIT = 0.5
 # Bounds of the prior's weight, in documents.
