@@ -23,7 +23,6 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Callable, Iterator
-from functools import cache
 
 import duckdb
 import numpy as np
@@ -33,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from moodlake.llm.common import per_worker
+
 LONG_PIECE = 256
 # Pieces a worker remembers; beyond this it starts afresh. About 150 bytes each.
 CACHED_PIECES = 1_000_000
@@ -191,9 +192,8 @@ class Codec:
         return self.text.gather(numbers[coded.indices.to_numpy()])
 
 
-@cache
 def codec(path: str, pattern: str) -> Codec:
-    return Codec(path, pattern)
+    return per_worker("codec", (path, pattern), lambda: Codec(path, pattern))
 
 
 def _by_row(values: np.ndarray, ends: np.ndarray) -> np.ndarray:

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+from collections.abc import Callable
+from types import ModuleType
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,3 +58,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="moodlake-"))
     return df.checkpoint(eager=True)
+
+
+def per_worker(name: str, key: tuple, make: Callable[[], Any]) -> Any:
+    """Something costly made once per Python worker and kept for its later tasks; one per name.
+
+    Functions travel to workers by value, so a module of this package need not
+    exist there; what is kept hangs on a module that every worker can make.
+    """
+    held = sys.modules.setdefault("_moodlake_worker", ModuleType("_moodlake_worker")).__dict__
+    if name not in held or held[name][0] != key:
+        held[name] = (key, make())
+    return held[name][1]

@@ -1,0 +1,83 @@
+import hashlib
+import re
+
+from conftest_paths import SMALL
+
+from moodlake.llm import secrets
+from moodlake.llm.queries import QUERIES
+
+BASE = (
+    ("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 2, 6),
+    ("access", re.compile(r"AKIA[A-Z0-9]+"), 0, 20),
+    ("hex", re.compile(r"[0-9a-f]+"), 0, 24),
+)
+
+
+def brute(text):
+    found = [
+        (m.start(), k, m.end(), name)
+        for k, (name, pattern, group, least) in enumerate(BASE)
+        for m in pattern.finditer(text or "") if len(m[group]) >= least
+    ]
+    return sorted(found)
+
+
+def check(row, text):
+    found = brute(text)
+    assert [row.n_assign, row.n_access, row.n_hex] == [sum(f[1] == k for f in found) for k in range(3)]
+    base = ",".join(f"{name}:{s}:{e}" for s, _, e, name in found)
+    assert row.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+    assert set(filter(None, base.split(","))) <= set(row.spans.split(","))
+
+
+def test_query_equals_brute_force(spark):
+    for sf in (SMALL, "/root/testdata/sf0.01"):
+        texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+        got = QUERIES["op8_secret_scan"](spark, sf).collect()
+        assert len(got) == len(texts)
+        for r in got:
+            check(r, texts[r.doc_id])
+
+
+def test_base_kinds_on_awkward_texts(spark, edge_docs, no_docs):
+    texts = [
+        "secret:token:abcdefg", "password = 'hunter2!' passwd:x secret==abcdef", "🙂🙂 token=ABC123+/_.=- tail", "AKIAAKIA" + "Z" * 20 + " AKIA123",
+        "é" * 50 + "deadbeef" * 3 + "g" + "0" * 23, "API_KEY: \"abcdefgh\"\napikey=short", "PASSWORD:a.b.c.d TOKEN : =======", None, "",
+        "0123456789abcdef" * 500,
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in secrets.find(frame).collect():
+        want = [(s, k, e) for s, k, e, _ in brute(r.row.text)]
+        assert [(s.start, s.place, s.end) for s in r.spans if s.strong] == want
+    assert secrets.find(no_docs).count() == 0 and secrets.redact(no_docs).count() == 0
+    assert secrets.find(edge_docs).count() == edge_docs.count()
+
+
+def spans(spark, text):
+    row = secrets.find(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    return [(s.kind, text[s.start:s.end]) for s in row.spans]
+
+
+def test_weak_parts_need_their_complement(spark):
+    far = " filler" * 60
+    assert spans(spark, "user=alice" + far) == []
+    assert spans(spark, "pwd=swordfish" + far + " https://db.example.com/x") == []
+    assert spans(spark, "user=alice pwd=swordfish") == [("user", "user=alice"), ("weak_key", "pwd=swordfish")]
+    assert spans(spark, "see https://example.com/docs and user: bob") == []
+    assert [k for k, _ in spans(spark, "jdbc:postgresql://db.example.com/x?" + " key: abcdef123456")] == ["endpoint", "weak_key"]
+    assert [k for k, _ in spans(spark, "password=hunter2x at https://api.example.com/v1")] == ["assign", "endpoint"]
+
+
+def test_scope_is_measured_between_parts(spark):
+    for gap, n in ((secrets.SCOPE - 1, 2), (secrets.SCOPE + 5, 0)):
+        assert len(spans(spark, "x " * 137 + "user=alice" + " " * gap + "pwd=swordfish")) == n
+
+
+def test_redaction(spark, edge_docs):
+    texts = ["a password=hunter22 b", "clean text", "token=deadbeefdeadbeefdeadbeefdeadbeef!", "é AKIA" + "A" * 20 + " ü"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in secrets.redact(frame).collect()}
+    assert got == {0: "a [SECRET] b", 1: "clean text", 2: "[SECRET]!", 3: "é [SECRET] ü"}
+    out = secrets.redact(edge_docs)
+    assert out.columns == edge_docs.columns and out.count() == edge_docs.count()
+    assert out.filter("text IS NULL").count() == 1

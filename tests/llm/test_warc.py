@@ -1,0 +1,67 @@
+import base64
+import hashlib
+
+import pytest
+import zstandard
+from conftest_paths import SMALL
+
+from moodlake.llm import warc
+from moodlake.llm.queries import QUERIES
+
+
+def brute(rows, least=0):
+    out, first = [], {}
+    for page, html in rows:
+        data = (html or "").encode()
+        if len(data) >= least:
+            first[data] = min(first.get(data, page), page)
+    for page, html in rows:
+        data = (html or "").encode()
+        again = len(data) >= least and first[data] != page
+        out.append((page, len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(), "revisit" if again else "response", first[data] if again else None))
+    return sorted(out)
+
+
+def test_query_equals_brute_force(spark):
+    rows = [(r.page_id, r.html) for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()]
+    assert sorted(map(tuple, QUERIES["op10_warc_bundles"](spark, SMALL).collect())) == brute(rows)
+
+
+@pytest.mark.parametrize("least", [0, 4])
+def test_edges_and_revisits(spark, folder, least):
+    texts = [None, "", "same", "same", "x" * 700_000, "é🙂\r\n\r\nWARC/1.1\r\n", "same", "abc", "abc"]
+    rows = [(i, None if i == 2 else f"http://a/{i} b%20\n", t, "x") for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string, payload string").repartition(3)
+    index = warc.write(frame, folder=folder + "/archives", least_bytes=least)
+    got = warc.read(index).collect()
+    assert sorted((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got) == brute([(r[0], r[2]) for r in rows], least)
+    assert {r.page_id: r.url for r in got} == {r[0]: r[1] for r in rows}
+
+
+def test_null_id_repeated_rows_and_empty(spark):
+    frame = spark.createDataFrame([(1, "u", "p"), (1, "u", "p"), (None, "u", "p"), (None, None, "q")], "page_id long, url string, html string")
+    got = sorted(((r.page_id or 0, r.record_type, r.refers_to) for r in warc.read(warc.write(frame)).collect()), key=str)
+    assert got == [(0, "response", None), (0, "revisit", 1), (1, "response", None), (1, "response", None)]
+    assert warc.read(warc.write(frame.filter("false"))).count() == 0
+
+
+def test_bundle_is_plain_zstandard_and_seekable(spark, folder, monkeypatch):
+    monkeypatch.setattr(warc, "FRAME_BYTES", 2000)
+    bundle = warc.Bundle(folder)
+    data = [warc.record(i, f"http://a/{i}", b"payload %d " % i * 40, None) for i in range(50)]
+    places = [bundle.add(d) for d in data]
+    bundle.close()
+    with open(bundle.path, "rb") as f:
+        whole = zstandard.ZstdDecompressor().stream_reader(f, read_across_frames=True).read()
+    assert whole == b"".join(data)
+    reader = warc.Reader(bundle.path)
+    assert len(reader.sizes) > 5
+    for i in (49, 0, 17, 3):
+        frame, place = places[i]
+        assert reader.record(frame, place, len(data[i]))["payload"] == b"payload %d " % i * 40
+
+
+def test_index_finds_single_records(spark):
+    frame = spark.createDataFrame([(i, "u", f"text {i}") for i in range(30)], "page_id long, url string, html string")
+    index = warc.write(frame)
+    assert [r.page_id for r in warc.read(index.filter("record_id = 'urn:page:7'")).collect()] == [7]
