@@ -8,6 +8,8 @@ from moodlake.llm import simhash
 
 def test_stages_take_effect(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    planted = " ".join(f"word{i}" for i in range(40)) + " password=hunter2secret"
+    docs = docs.unionByName(docs.limit(1).selectExpr("10000L AS doc_id", f"'{planted}' AS text", "lang", "source", "n_chars"))
     before = {r.doc_id: r for r in docs.collect()}
     kept = corpus_pipeline.quality_rules(spark, docs, SMALL)
     assert kept.columns == docs.columns and 0 < kept.count() < docs.count()
@@ -18,7 +20,7 @@ def test_stages_take_effect(spark):
     masked = corpus_pipeline.secret_scan(spark, single, SMALL).collect()
     assert sorted(r.doc_id for r in masked) == sorted(ids)
     assert all("[SECRET]" in r.text or r.text == before[r.doc_id].text for r in masked)
-    assert any("[SECRET]" in r.text for r in masked)
+    assert [r.text for r in masked if r.doc_id == 10000] == [planted.replace("password=hunter2secret", "[SECRET]")]
 
 
 def test_run_repeats_by_copies_and_reruns_agree(spark):
