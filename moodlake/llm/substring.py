@@ -164,7 +164,7 @@ def _windows(step: Step, table: np.ndarray, bits: int) -> pa.RecordBatch:
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", bits: int = TABLE_BITS) -> DataFrame:
-    """``id``, ``tag`` and ``spans``: the places of windows that occur earlier, as runs (start, number of starts)."""
+    """``id``, ``tag`` and ``spots``: the places of windows that occur earlier, as runs (start << 31 | number of starts)."""
     lean = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(repeated_anchors(lean, bits))
 
@@ -177,19 +177,19 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", bits: i
         "id", "shiftrightunsigned(tag, 32) AS tag", "spot", "settled",
         "rank() OVER (PARTITION BY hash, tag & 4294967295L, settled ORDER BY id, shiftright(spot, 31)) AS place",
     ).filter("settled OR place > 1")
-    span = F.struct(F.expr("shiftright(spot, 31)").alias("start"), F.expr("spot & 2147483647L").alias("starts"))
-    return ranked.groupBy("id", "tag").agg(F.sort_array(F.collect_list(span)).alias("spans"))
+    return ranked.groupBy("id", "tag").agg(F.sort_array(F.collect_list("spot")).alias("spots"))
 
 
-def _kept(text: str | None, spans: list | None) -> tuple[list[bytes], int]:
+def _kept(text: str | None, spots: list | None) -> tuple[list[bytes], int]:
     """Words left after removal, and the number of all words."""
     tokens = (text or "").encode().split()
-    if not spans:
+    if not spots:
         return tokens, len(tokens)
     edge = np.zeros(len(tokens) + 1, np.int32)
-    for s in spans:
-        edge[s["start"]] += 1
-        edge[min(len(tokens), s["start"] + s["starts"] + WINDOW - 1)] -= 1
+    for spot in spots:
+        start = spot >> 31
+        edge[start] += 1
+        edge[min(len(tokens), start + (spot & 0x7FFFFFFF) + WINDOW - 1)] -= 1
     keep = np.cumsum(edge[:-1]) == 0
     return [t for t, k in zip(tokens, keep) if k], len(tokens)
 
@@ -213,11 +213,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                 removed.append(n - len(left))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(out, pa.string()), pa.array(words, pa.int64()), pa.array(removed, pa.int64()), batch.column(2)],
-                names=["id", "text", "n_words", "n_removed", "spans"],
+                names=["id", "text", "n_words", "n_removed", "spots"],
             )
 
-    joined = keyed.join(found, ["id", "tag"], "left").select(F.col("_own").alias("id"), "text", "spans")
-    done = joined.mapInArrow(
-        run, "id bigint, text string, n_words bigint, n_removed bigint, spans array<struct<start:bigint,starts:bigint>>"
-    )
-    return done.select(F.col("id").alias(id_col), F.col("text").alias(text), "n_words", "n_removed", "spans")
+    joined = keyed.join(found, ["id", "tag"], "left").select(F.col("_own").alias("id"), "text", "spots")
+    done = joined.mapInArrow(run, "id bigint, text string, n_words bigint, n_removed bigint, spots array<bigint>")
+    spans = F.transform("spots", lambda x: F.struct(
+        F.shiftright(x, 31).alias("start"), x.bitwiseAND(F.lit(0x7FFFFFFF)).alias("starts")
+    ))
+    return done.select(F.col("id").alias(id_col), F.col("text").alias(text), "n_words", "n_removed", spans.alias("spans"))
