@@ -39,6 +39,8 @@ SAMPLE = 20_000
 TRIALS = 256
 TARGET = 0.95
 MOST_LISTS = 4096
+# Lists per square root of the number of vectors: a scan of a short list is mostly overhead.
+LISTS_PER_ROOT = 0.25
 ROUNDS = 8
 SEED = 7
 # Columns read before each test, and the strictness of the test.
@@ -57,7 +59,7 @@ class Space:
         self.longest, dim = longest, sample.shape[1] + 1
         self.rotation = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
         points = self.place(sample)
-        lists = max(1, min(MOST_LISTS, int(np.sqrt(n_rows)), len(sample)))
+        lists = max(1, min(MOST_LISTS, int(np.sqrt(n_rows) * LISTS_PER_ROOT), len(sample)))
         centres = points[rng.choice(len(points), lists, replace=False)]
         for _ in range(ROUNDS):
             near = self._nearest(points, centres, 1)[:, 0]
@@ -102,16 +104,16 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
 
 
-def _scores(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Inner products, added up in the order of the components whatever the number of vectors."""
+def _scores(vectors: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """Inner products row by row, added up in the order of the components."""
     total = np.zeros(len(vectors))
     for j in range(vectors.shape[1]):
-        total += vectors[:, j] * query[j]
+        total += vectors[:, j] * queries[..., j]
     return total
 
 
-def _scan(vectors: np.ndarray, placed: np.ndarray, first: np.ndarray, query: np.ndarray, aimed: np.ndarray, bound: float, longest: float, k: int):
-    """Rows and scores of the best k: those that no test drops, in chunks, with a bound that tightens."""
+def _scan(vectors: np.ndarray, placed: np.ndarray, query: np.ndarray, aimed: np.ndarray, bound: float, longest: float, k: int) -> np.ndarray:
+    """The best k rows (more, if scores tie) that no test drops, in chunks, with a bound that tightens."""
     rows, scores = np.empty(0, np.int64), np.empty(0)
     dim, base = placed.shape[1], longest**2 + float(query @ query)
     for at in range(0, len(vectors), CHUNK):
@@ -127,13 +129,12 @@ def _scan(vectors: np.ndarray, placed: np.ndarray, first: np.ndarray, query: np.
                     break
         if len(left):
             rows = np.concatenate([rows, left])
-            scores = np.concatenate([scores, _scores(vectors[left], query)])
-            if len(rows) > k:
-                best = np.lexsort((first[rows], -scores))[:k]
-                rows, scores = rows[best], scores[best]
-            if len(rows) == k:
-                bound = max(bound, scores.min())
-    return rows, scores
+            scores = np.concatenate([scores, vectors[left] @ query])
+            if len(rows) >= k:
+                least = np.partition(scores, len(scores) - k)[len(scores) - k]
+                near = scores >= least - abs(least) * 1e-12
+                rows, scores, bound = rows[near], scores[near], max(bound, float(least))
+    return rows
 
 
 def search(
@@ -143,27 +144,30 @@ def search(
     """``query_id``, ``rank``, ``vec_id``, ``score``; ``is_query`` is a SQL condition on the rows."""
     spark = embeddings.sparkSession
     v = F.col("v")
-    rows = embeddings.select(F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), F.expr(is_query).alias("asks"))
-    rows = rows.filter(F.col("id").isNotNull() & v.isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0))
+    rows = embeddings.select(F.col(id_col).cast("long").alias("id"), F.col(vector).alias("v"), F.expr(is_query).alias("asks"))
+    usable = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
+    rows = rows.filter(F.col("id").isNotNull() & v.isNotNull() & usable)
     common = rows.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "dim").first()
-    schema = "query_id bigint, rank int, vec_id bigint, score double"
     if common is None:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     rows = rows.filter(F.size("v") == common.dim).withColumn("h", F.xxhash64("v"))
     few = rows.select("h", "v", "id").distinct()
     few = few.withColumn("r", F.row_number().over(Window.partitionBy("h", "v").orderBy("id"))).filter(f"r <= {k + 1}")
-    asked = rows.filter("asks").select("h", "v", F.col("id").alias("query_id")).distinct()
     vectors = few.groupBy("h", "v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-    vectors = scratch_table(vectors.withColumn("key", F.element_at("ids", 1)), "vectors")
-    asking = scratch_table(asked, "asking")
-
-    about = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).alias("longest")).first()
-    sample = vectors.orderBy(F.xxhash64(F.lit(seed), "h"), "key").limit(SAMPLE).select("v").toArrow()
+    # From here on a vector goes by its number, which the stored table keeps.
+    vectors = scratch_table(vectors.select(F.monotonically_increasing_id().alias("num"), "h", "v", "ids"), "vectors")
+    asking = rows.filter("asks").select("h", "v", F.col("id").alias("query_id")).distinct()
+    asking = scratch_table(asking.join(vectors.select("num", "h", "v"), ["h", "v"]).select("query_id", F.col("num").alias("q")), "asking")
+
+    squares = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    about = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.sqrt(squares)).alias("longest")).first()
+    sample = vectors.orderBy(F.xxhash64(F.lit(seed), "h"), "num").limit(SAMPLE).select("v").toArrow()
     fitted = Space(_matrix(sample["v"]), about.n, about.longest * (1 + 1e-9), seed)
     space = spark.sparkContext.broadcast(vars(fitted))
-    index = scratch_table(vectors.select("key", "h", "v").mapInArrow(_dealer(space), "key bigint, h bigint, v array<double>, list int"), "lists")
-    queries = asking.select("h", "v").distinct()
-    probes = scratch_table(queries.mapInArrow(_prober(space), "h bigint, v array<double>, list int, turn int"), "probes")
+    kind = vectors.schema["v"].dataType.simpleString()
+    index = scratch_table(vectors.select("num", "v").mapInArrow(_dealer(space), f"num bigint, v {kind}, list int"), "lists")
+    queries = vectors.select("num", "v").join(asking.select(F.col("q").alias("num")).distinct(), "num", "left_semi").select("num", "v")
+    probes = scratch_table(queries.mapInArrow(_prober(space), f"num bigint, v {kind}, list int, turn int"), "probes")
 
     sizes = index.groupBy("list").agg(F.count(F.lit(1)).alias("n"))
     loads = probes.groupBy("list", (F.col("turn") > 0).alias("later")).agg(F.count(F.lit(1)).alias("m"))
@@ -174,26 +178,27 @@ def search(
 
     def scan(wanted: DataFrame, later: bool) -> DataFrame:
         cell = cells.filter(F.col("later") == later)
-        left = index.join(cell, "list").withColumn("block", F.expr("pmod(hash(h), blocks)")).withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
-        right = wanted.join(cell, "list").withColumn("part", F.expr("pmod(hash(h), parts)")).withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)")))
+        left = index.join(cell, "list").withColumn("block", F.expr("pmod(hash(num), blocks)")).withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
+        right = wanted.join(cell, "list").withColumn("part", F.expr("pmod(hash(num), parts)")).withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)")))
         place = ["list", "block", "part"]
-        return left.select(*place, "key", "h", "v").groupBy(*place).cogroup(
-            right.select(*place, "h", "v", "bound").groupBy(*place)
-        ).applyInArrow(_scanner(space, k + 1), "q bigint, qv array<double>, key bigint, h bigint, v array<double>, score double")
-
-    by_query = Window.partitionBy("q", "qv").orderBy(F.desc("score"), "key")
-    first = scan(probes.filter("turn = 0").withColumn("bound", F.lit(None).cast("double")), False)
-    first = scratch_table(first, "nearest_list")
-    bounds = first.withColumn("r", F.row_number().over(by_query)).filter(f"r = {k + 1}").select(F.col("q").alias("h"), F.col("qv").alias("v"), F.col("score").alias("bound"))
-    rest = scan(probes.filter("turn > 0").join(bounds, ["h", "v"], "left"), True)
-    found = first.unionByName(rest).withColumn("r", F.row_number().over(by_query)).filter(f"r <= {k + 1}")
-    named = found.select("q", "qv", "h", "v", "score").join(vectors.select("h", "v", "ids"), ["h", "v"])
-    named = named.select("q", "qv", "score", F.explode("ids").alias("vec_id"))
-    near = named.withColumn("r", F.row_number().over(Window.partitionBy("q", "qv").orderBy(F.desc("score"), "vec_id"))).filter(f"r <= {k + 1}")
-    answer = near.groupBy("q", "qv").agg(F.sort_array(F.collect_list(F.struct("r", "vec_id", "score"))).alias("near"))
-    joined = asking.join(answer, (F.col("h") == F.col("q")) & (F.col("v") == F.col("qv")))
+        return left.select(*place, "num", "v").groupBy(*place).cogroup(
+            right.select(*place, "num", "v", "bound").groupBy(*place)
+        ).applyInArrow(_scanner(space, k + 1), "q bigint, num bigint, score double")
+
+    by_query = Window.partitionBy("q").orderBy(F.desc("score"), "first")
+    firsts = vectors.select("num", F.element_at("ids", 1).alias("first"))
+    nearest = scan(probes.filter("turn = 0").withColumn("bound", F.lit(None).cast("double")), False)
+    nearest = scratch_table(nearest, "nearest_list")
+    place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score")))
+    bounds = nearest.withColumn("r", place).filter(f"r = {k + 1}").select(F.col("q").alias("num"), F.col("score").alias("bound"))
+    rest = scan(probes.filter("turn > 0").join(bounds, "num", "left"), True)
+    found = nearest.unionByName(rest).join(firsts, "num").withColumn("r", F.row_number().over(by_query)).filter(f"r <= {k + 1}")
+    named = found.select("q", "num", "score").join(vectors.select("num", "ids"), "num")
+    named = named.select("q", "score", F.explode("ids").alias("vec_id"))
+    near = named.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "vec_id"))).filter(f"r <= {k + 1}")
+    answer = near.groupBy("q").agg(F.sort_array(F.collect_list(F.struct("r", "vec_id", "score"))).alias("near"))
     others = F.slice(F.filter("near", lambda x: x["vec_id"] != F.col("query_id")), 1, k)
-    return joined.select("query_id", F.posexplode(others).alias("at", "x")).select(
+    return asking.join(answer, "q").select("query_id", F.posexplode(others).alias("at", "x")).select(
         "query_id", (F.col("at") + 1).cast("int").alias("rank"), "x.vec_id", "x.score"
     )
 
@@ -209,8 +214,8 @@ def _dealer(space):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if len(batch):
-                lists = _space(space).lists(_matrix(batch.column(2))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lists)], names=["key", "h", "v", "list"])
+                lists = _space(space).lists(_matrix(batch.column(1))).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lists)], names=["num", "v", "list"])
 
     return run
 
@@ -224,7 +229,7 @@ def _prober(space):
             for turn in range(lists.shape[1]):
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array(lists[:, turn].astype(np.int32)), pa.array(np.full(len(batch), turn, np.int32))],
-                    names=["h", "v", "list", "turn"],
+                    names=["num", "v", "list", "turn"],
                 )
 
     return run
@@ -233,21 +238,17 @@ def _prober(space):
 def _scanner(space, k: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         s = _space(space)
-        found: list[tuple[int, np.ndarray, np.ndarray]] = []
+        rows, asked = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        scores = np.empty(0)
         if len(left) and len(right):
             vectors, queries = _matrix(left["v"]), _matrix(right["v"])
             placed, aimed = s.place(vectors), s.place(queries, True)
-            first = left["key"].to_numpy()
             for i, bound in enumerate(right["bound"].to_pylist()):
-                rows, scores = _scan(vectors, placed, first, queries[i], aimed[i], -np.inf if bound is None else bound, s.longest, k)
-                if len(rows):
-                    found.append((i, rows, scores))
-        asked = np.concatenate([np.full(len(r), i) for i, r, _ in found]) if found else np.empty(0, np.int64)
-        rows = np.concatenate([r for _, r, _ in found]) if found else np.empty(0, np.int64)
-        scores = np.concatenate([x for _, _, x in found]) if found else np.empty(0)
+                rows.append(_scan(vectors, placed, queries[i], aimed[i], -np.inf if bound is None else bound, s.longest, k))
+                asked.append(np.full(len(rows[-1]), i))
+            scores = _scores(vectors[np.concatenate(rows)], queries[np.concatenate(asked)])
         return pa.table({
-            "q": right["h"].take(pa.array(asked)), "qv": right["v"].take(pa.array(asked)),
-            "key": left["key"].take(pa.array(rows)), "h": left["h"].take(pa.array(rows)), "v": left["v"].take(pa.array(rows)),
+            "q": right["num"].take(pa.array(np.concatenate(asked))), "num": left["num"].take(pa.array(np.concatenate(rows))),
             "score": pa.array(scores, pa.float64()),
         })
 
