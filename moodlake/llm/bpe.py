@@ -36,7 +36,7 @@ from moodlake.llm.common import per_worker
 
 LONG_PIECE = 256
 # Pieces a worker remembers; beyond this it starts afresh. About 150 bytes each.
-CACHED_PIECES = 1_000_000
+CACHED_PIECES = 400_000
 # Pieces handled at once, unless one text has more.
 STEP = 400_000
 
