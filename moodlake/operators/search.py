@@ -22,7 +22,7 @@ def text_search(
     for name in columns:
         c = F.col(name)
         found = F.rlike(c, F.lit(term)) if regex else F.contains(c, F.lit(term))
-        hit = hit | F.coalesce(found, F.lit(False))
+        hit = hit | found
     return df.filter(hit)
 
 
