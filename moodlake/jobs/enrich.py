@@ -6,8 +6,8 @@ import argparse
 import importlib
 
 from moodlake.operators.classifier import load, score_with_model
-from moodlake.operators.scoring import score, score_distinct
-from moodlake.session import build_session
+from moodlake.operators.scoring import RetryPolicy, score, score_distinct, score_keywords
+from moodlake.session import build_session, scratch_scope
 from moodlake.sources import broker
 from moodlake.sources.store import write_enriched
 from moodlake.streaming import enrich
@@ -17,11 +17,15 @@ def _scoring(args: argparse.Namespace):
     if args.model:
         model = load(args.model)
         return lambda df: score_with_model(model, df)
+    if not args.scorer:
+        return score_keywords
+    retry = RetryPolicy(attempts=args.attempts, rest_after=args.rest_after, rest_seconds=args.rest_seconds)
+    settings = {"retry": retry, "call_size": args.call_size, "calls_at_once": args.calls_at_once, "tasks": args.tasks}
     module, _, name = args.scorer.partition(":")
     factory = getattr(importlib.import_module(module), name)
     if args.distinct:
-        return lambda df: score_distinct(df, factory)
-    return lambda df: score(df, factory, tasks=args.tasks)
+        return lambda df: score_distinct(df, factory, **settings)
+    return lambda df: score(df, factory, **settings)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -30,18 +34,28 @@ def main(argv: list[str] | None = None) -> None:
     source.add_argument("--servers", help="broker addresses")
     source.add_argument("--messages", help="folder of JSON lines instead of a broker")
     parser.add_argument("--topic", default=broker.TOPIC)
-    parser.add_argument("--max-offsets", type=int, default=500, help="messages per micro-batch")
+    parser.add_argument("--max-offsets", type=int, help="messages per micro-batch at most")
     parser.add_argument("--min-partitions", type=int, help="split broker partitions over at least as many tasks")
     parser.add_argument("--store", required=True)
     parser.add_argument("--checkpoint", help="stream state; needed unless --batch")
     parser.add_argument("--trigger", default="10 seconds")
     parser.add_argument("--once", action="store_true", help="work off what is there and stop")
     parser.add_argument("--batch", action="store_true", help="reprocess everything as one batch job")
-    parser.add_argument("--scorer", default="moodlake.operators.scoring:keyword_scorer", help="module:factory")
+    parser.add_argument("--scorer", help="module:factory of a scorer; default: keywords, as a native expression")
     parser.add_argument("--model", help="saved classifier in the scorer's place")
     parser.add_argument("--distinct", action="store_true", help="ask once per distinct text (of a micro-batch)")
     parser.add_argument("--tasks", type=int, help="spread rows over this many scoring tasks")
+    parser.add_argument("--call-size", type=int, default=64, help="texts per call of the scorer")
+    parser.add_argument("--calls-at-once", type=int, default=1, help="calls a task waits for at a time")
+    parser.add_argument("--attempts", type=int, default=3, help="tries per call")
+    parser.add_argument("--rest-after", type=int, default=3, help="failed calls in a row before a task rests")
+    parser.add_argument("--rest-seconds", type=float, default=60, help="how long it rests")
     args = parser.parse_args(argv)
+    if args.model and args.scorer:
+        parser.error("choose one of --model and --scorer")
+    for flag in ("distinct", "tasks", "call_size", "calls_at_once", "attempts", "rest_after", "rest_seconds"):
+        if not args.scorer and getattr(args, flag) != parser.get_default(flag):
+            parser.error(f"--{flag.replace('_', '-')} has an effect with --scorer only")
     if not args.batch and not args.checkpoint:
         parser.error("--checkpoint is needed for a stream")
 
@@ -52,7 +66,8 @@ def main(argv: list[str] | None = None) -> None:
             broker.read_batch(spark, args.servers, topic=args.topic, min_partitions=args.min_partitions)
             if args.servers else spark.read.text(args.messages)
         )
-        write_enriched(enrich.enrich(rows, scoring), args.store)
+        with scratch_scope(spark):
+            write_enriched(enrich.enrich(rows, scoring), args.store)
         return
     rows = (
         broker.read_stream(
@@ -61,7 +76,7 @@ def main(argv: list[str] | None = None) -> None:
         if args.servers else spark.readStream.text(args.messages)
     )
     trigger = None if args.once else args.trigger
-    if args.distinct and not args.model:
+    if args.distinct:
         query = enrich.write_stream_batches(
             rows, lambda batch: enrich.enrich(batch, scoring), args.store, args.checkpoint, trigger
         )

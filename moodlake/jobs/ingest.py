@@ -23,6 +23,7 @@ def main(argv: list[str] | None = None) -> dict[str, int]:
     parser.add_argument("--encoding", help="of all files, which then share one header: saves judging them")
     parser.add_argument("--single-line", action="store_true", help="no field holds a newline")
     parser.add_argument("--now", action="store_true", help="unreadable timestamps become the time of the run")
+    parser.add_argument("--rejects", help="folder for the rejected rows and their reasons, as JSON lines")
     args = parser.parse_args(argv)
 
     spark = build_session("moodlake-ingest")
@@ -32,6 +33,9 @@ def main(argv: list[str] | None = None) -> dict[str, int]:
     )
     counts = Observation("ingest")
     tagged = observe_counts(tag_rejects(rows), counts)
+    if args.rejects:
+        # Written first and apart: the counts are observed in the pass over the valid rows.
+        tag_rejects(rows).filter(F.col("reject_reason").isNotNull()).write.json(args.rejects)
     valid = tagged.filter(F.col("reject_reason").isNull())
     out = messages(normalise(valid, F.current_timestamp() if args.now else None))
     if args.servers:

@@ -17,18 +17,23 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--view", choices=list(trend.VIEWS), default="Month")
     parser.add_argument("--width", default="1 day", help="width of a trend point")
     parser.add_argument("--term", help="sentiment mix of the posts with this term")
+    parser.add_argument("--search", help="posts that hold this text")
     parser.add_argument("--as-of", help="end of the hours looked at for --term (default: newest post)")
     parser.add_argument("--hours", type=int, default=1)
+    parser.add_argument("--rows", type=int, default=1000, help="lines printed per report")
     args = parser.parse_args(argv)
 
     rows = read_enriched(build_session("moodlake-report"), args.store)
     metrics.kpi_summary(rows).show(truncate=False)
-    metrics.mix(rows).orderBy(F.desc("n")).show(truncate=False)
+    metrics.mix(rows).orderBy(F.desc("n")).show(args.rows, truncate=False)
+    metrics.failure_rate(rows).orderBy(F.desc("n")).show(args.rows, truncate=False)
     trend.last_points(trend.sentiment_trend(rows, args.width), args.view).show(28, truncate=False)
     trend.recent_feed(rows).show(truncate=False)
+    if args.search:
+        search.text_search(rows, args.search).show(args.rows, truncate=False)
     if args.term:
         as_of = F.lit(args.as_of).cast("timestamp") if args.as_of else rows.agg(F.max("timestamp")).scalar()
-        search.term_mix(rows, args.term, as_of, args.hours).show(truncate=False)
+        search.term_mix(rows, args.term, as_of, args.hours).show(args.rows, truncate=False)
 
 
 if __name__ == "__main__":

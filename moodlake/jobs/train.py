@@ -25,6 +25,7 @@ def main(argv: list[str] | None = None) -> dict[str, float]:
     parser.add_argument("--features", type=int, default=65536)
     parser.add_argument("--max-iter", type=int, default=100)
     parser.add_argument("--cache", action="store_true", help="keep the rows in memory and on local disks")
+    parser.add_argument("--rows", type=int, default=1000, help="lines printed per report")
     args = parser.parse_args(argv)
 
     spark = build_session("moodlake-train")
@@ -37,8 +38,9 @@ def main(argv: list[str] | None = None) -> dict[str, float]:
         print(exc, file=sys.stderr)
         sys.exit(2)
 
-    metrics.class_distribution(rows).show(truncate=False)
-    train, test = hash_split(rows, train_pct=args.train_pct)
+    metrics.class_distribution(rows).show(args.rows, truncate=False)
+    # Fallback answers of failed calls are no truth to learn from or to be judged by.
+    train, test = hash_split(rows.filter("inference_error IS NULL"), train_pct=args.train_pct)
     params = classifier.ClassifierParams(features=args.features, max_iter=args.max_iter)
     model, seconds = classifier.fit_classifier(train, params)
     print(f"fitted in {seconds:.2f} s")
@@ -50,9 +52,9 @@ def main(argv: list[str] | None = None) -> dict[str, float]:
     pair = ("sentiment_label", "predicted_label")
     figures = evaluation.weighted_metrics(predictions, *pair).first().asDict()
     print(figures)
-    evaluation.class_report(predictions, *pair).drop("tp").show(truncate=False)
+    evaluation.class_report(predictions, *pair).drop("tp").show(args.rows, truncate=False)
     labels = classifier.labels(model)
-    evaluation.confusion_matrix(predictions, *pair, classes=labels).show(truncate=False)
+    evaluation.confusion_matrix(predictions, *pair, classes=labels).show(args.rows, truncate=False)
     predictions.unpersist()
     classifier.save(model, args.model, args.regression)
     return figures

@@ -24,11 +24,11 @@ def clean_posts(posts: DataFrame, drop_hashtags: bool = True, trim: bool = False
     )
 
 
-def stored_shape(scored: DataFrame, keep_error: bool = False) -> DataFrame:
+def stored_shape(scored: DataFrame, keep_error: bool = True) -> DataFrame:
     """The columns of the enriched store; no label is NULL or empty.
 
-    ``keep_error`` keeps ``inference_error``, which tells a failed call from a
-    true Neutral.
+    ``inference_error`` tells a failed call from a true Neutral; ``keep_error``
+    leaves it out on demand.
     """
     timestamp = F.col("timestamp")
     if dict(scored.dtypes)["timestamp"] == "string":
@@ -38,5 +38,6 @@ def stored_shape(scored: DataFrame, keep_error: bool = False) -> DataFrame:
         "sentiment_label": default_label("sentiment_label"),
         "confidence_score": F.col("confidence_score").cast("float"),
     })
-    extra = ["inference_error"] if keep_error else []
-    return shaped.select(*schemas.ENRICHED.fieldNames(), *extra)
+    if "inference_error" not in scored.columns:
+        shaped = shaped.withColumn("inference_error", F.lit(None).cast("string"))
+    return shaped.select(*(schemas.STORED if keep_error else schemas.ENRICHED).fieldNames())

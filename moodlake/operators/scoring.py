@@ -21,7 +21,7 @@ from moodlake import schemas
 from moodlake.functions.predictions import (
     DEFAULT_LABEL, EMPTY_TEXT, MODEL_LABELS, UNAVAILABLE, default_label, label_name, top_prediction, unscored,
 )
-from moodlake.functions.text import NEGATIVE_KEYWORDS, POSITIVE_KEYWORDS, is_blank
+from moodlake.functions.text import NEGATIVE_KEYWORDS, POSITIVE_KEYWORDS, has_any, is_blank, keyword_sentiment
 from moodlake.session import scratch_table
 
 Scorer = Callable[[list[str]], list[tuple[str, float]]]
@@ -52,7 +52,11 @@ class RetryPolicy:
     loading_cap: float = 30
     rate_limit_seconds: float = 10
     backoff_base: float = 2
+    # After so many calls in a row that the service failed, a task makes none for so long.
+    rest_after: int = 3
+    rest_seconds: float = 60
     sleep: Callable[[float], None] = time.sleep
+    clock: Callable[[], float] = time.monotonic
 
     def pause(self, error: Exception, attempt: int) -> float:
         if isinstance(error, ModelLoading):
@@ -70,25 +74,60 @@ def _checked(scorer: Scorer, texts: list[str]) -> list[tuple]:
     return [(MODEL_LABELS.get(label, label), score, None) for label, score in answers]
 
 
-def call_scorer(scorer: Scorer, texts: list[str], retry: RetryPolicy) -> list[tuple]:
+# Failures of the service: those a scorer names so, and all of the network and its clients.
+SERVICE_ERRORS = (Transient, OSError)
+
+
+class Rest:
+    """Keeps a task from calling a service that has just failed several times in a row."""
+
+    def __init__(self, retry: RetryPolicy):
+        self.retry, self.failures, self.until = retry, 0, None
+
+    def resting(self) -> bool:
+        return self.until is not None and self.retry.clock() < self.until
+
+    def note(self, failed: bool) -> None:
+        self.failures = self.failures + 1 if failed else 0
+        rest = self.failures >= self.retry.rest_after
+        self.until = self.retry.clock() + self.retry.rest_seconds if rest else None
+
+
+def call_scorer(
+    scorer: Scorer, texts: list[str], retry: RetryPolicy, rest: Rest | None = None, narrowing: bool = False
+) -> list[tuple]:
     """(label, score, error) per text; a text no call answers for gets the fallback.
 
-    When the service itself fails, all texts of the call fall back. Any other
-    failure may be one text's fault, so the call is halved until that text
-    stands alone.
+    When the service itself fails, all texts of the call fall back, as they do
+    without a call while the task rests from it. Any other failure may be one
+    text's fault, so the call is halved until that text stands alone; the
+    halves are not tried again for such a failure, as the whole has been.
     """
+    unanswered = [(DEFAULT_LABEL, 0.0, UNAVAILABLE)] * len(texts)
+    if rest is not None and rest.resting():
+        return unanswered
     error: Exception | None = None
     for attempt in range(1, retry.attempts + 1):
         try:
-            return _checked(scorer, texts)
+            answers = _checked(scorer, texts)
+            if rest is not None:
+                rest.note(failed=False)
+            return answers
         except Exception as exc:  # a scorer may raise anything; no row may be lost for it
             error = exc
+        if narrowing and not isinstance(error, SERVICE_ERRORS):
+            break
         if attempt < retry.attempts:
             retry.sleep(retry.pause(error, attempt))
-    if len(texts) == 1 or isinstance(error, (Transient, TimeoutError, ConnectionError)):
-        return [(DEFAULT_LABEL, 0.0, UNAVAILABLE)] * len(texts)
+    service = isinstance(error, SERVICE_ERRORS)
+    if rest is not None:
+        rest.note(failed=service)
+    if len(texts) == 1 or service:
+        return unanswered
     half = len(texts) // 2
-    return call_scorer(scorer, texts[:half], retry) + call_scorer(scorer, texts[half:], retry)
+    return [
+        row for part in (texts[:half], texts[half:]) for row in call_scorer(scorer, part, retry, rest, narrowing=True)
+    ]
 
 
 def _scoring_udf(factory: Callable[[], Scorer], retry: RetryPolicy, call_size: int, calls_at_once: int = 1):
@@ -96,13 +135,13 @@ def _scoring_udf(factory: Callable[[], Scorer], retry: RetryPolicy, call_size: i
 
     @pandas_udf(schemas.SCORE)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        scorer = factory()
+        scorer, rest = factory(), Rest(retry)
         with ThreadPoolExecutor(calls_at_once) as pool:
             for texts in batches:
                 # Each distinct text of the batch is scored once; NULL has code -1.
                 codes, distinct = pd.factorize(texts)
                 calls = [list(distinct[i:i + call_size]) for i in range(0, len(distinct), call_size)]
-                answers = [row for rows in pool.map(lambda call: call_scorer(scorer, call, retry), calls) for row in rows]
+                answers = [row for rows in pool.map(lambda call: call_scorer(scorer, call, retry, rest), calls) for row in rows]
                 answers.append((None, None, None))
                 table = pd.DataFrame(answers, columns=columns)
                 yield table.astype({"score": "float32"}).iloc[codes].reset_index(drop=True)
@@ -154,21 +193,28 @@ def score_distinct(
     call_size: int = 64,
     calls_at_once: int = 1,
     hot_share: float = 1e-5,
+    tasks: int | None = None,
 ) -> DataFrame:
     """``score``, asking the model once per distinct text of the whole table (batch only).
 
-    Worth its shuffles when calls are dear and texts repeat. The answers are
-    written to the shared scratch folder once, so that a lost executor repeats
-    no call. They return to the rows by text hash: texts holding more than
+    Worth its shuffles when calls are dear and texts repeat. Input and answers
+    are written to the shared scratch folder once: a source that moves between
+    reads cannot bring texts nobody asked about, and a lost executor repeats no
+    call. ``tasks`` scoring tasks share the distinct texts (default: the
+    session's shuffle partitions; adaptive execution does not merge them). The answers return to the rows by text hash: texts holding more than
     ``hot_share`` of the rows (fewer than 1/hot_share of them, some hundred
     bytes each) by a broadcast join without moving the rows, the others by a
-    shuffled join in which no key is hot. ``df`` is read three times, so let it
-    be stored rather than dear to compute.
+    shuffled join in which no key is hot. A text without an answer is marked
+    unavailable. ``scratch_scope`` removes the scratch tables once the result
+    is stored.
     """
     if not 1e-5 <= hot_share <= 1:
         raise ValueError("hot_share bounds the broadcast: choose 0.00001 to 1")
+    df = scratch_table(df, "asked")
+    tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = (
         df.filter(~is_blank(text)).groupBy(F.col(text).alias("_text")).agg(F.count(F.lit(1)).alias("_rows"))
+        .repartition(tasks, "_text")
     )
     answers = scratch_table(
         score(texts, factory, "_text", retry, call_size, calls_at_once).select(
@@ -192,7 +238,9 @@ def score_distinct(
         df.filter(~is_blank(text)).withColumn("_key", F.sha2(text, 256))
         .join(hot, "_key", "left_anti").join(cold, "_key", "left")
     )
-    answer = F.when(F.col("_key").isNull(), unscored(EMPTY_TEXT)).otherwise(F.col("_answer"))
+    answer = F.when(F.col("_key").isNull(), unscored(EMPTY_TEXT)).otherwise(
+        F.coalesce("_answer", unscored(UNAVAILABLE))
+    )
     rows = near.unionByName(far).select(*df.columns, answer.alias("_found"))
     return with_score(rows, F.col("_found")).drop("_found")
 
@@ -216,6 +264,18 @@ def score_columns(df: DataFrame, label: str, confidence: str, error: str, text:
     return with_score(df, result)
 
 
+def score_keywords(df: DataFrame, text: str = "cleaned_text") -> DataFrame:
+    """``score`` with ``keyword_scorer`` as a native expression: same answers, no Python."""
+    lowered = F.lower(F.col(text))
+    both = has_any(lowered, POSITIVE_KEYWORDS) & has_any(lowered, NEGATIVE_KEYWORDS)
+    answer = F.struct(
+        keyword_sentiment(text, text).alias("label"),
+        F.when(both, 0.5).otherwise(1.0).cast("float").alias("score"),
+        F.lit(None).cast("string").alias("error"),
+    )
+    return with_score(df, F.when(is_blank(text), unscored(EMPTY_TEXT)).otherwise(answer))
+
+
 def keyword_scorer() -> Scorer:
     """A scorer without a model: ``keyword_sentiment`` with the text as tie key,
     sure (1.0) unless both polarities occur (0.5)."""

@@ -185,7 +185,7 @@ def shown_feed(feed):
 def _(spark, sf_dir):
     rows = labelled(spark, sf_dir)
     per_source = rows.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.max("timestamp").alias("ts"))
-    total = rows.agg(F.count(F.lit(1))).scalar()
+    total = per_source.agg(F.sum("n")).scalar()
     return per_source.select(
         "source", thousands("n").alias("posts"), percent(100.0 * F.col("n") / total).alias("share"),
         clock("ts").alias("latest"),

@@ -88,6 +88,12 @@ def _(spark, sf_dir):
     return _result(score_distinct(clean_posts(posts(spark, sf_dir)), keyword_scorer), "id")
 
 
+@query("score_distinct_cold_posts", _POSTS_SCORED)
+def _(spark, sf_dir):
+    """Only texts with more than a hundredth of the rows come by broadcast: most take the shuffled join."""
+    return _result(score_distinct(clean_posts(posts(spark, sf_dir)), keyword_scorer, hot_share=0.01), "id")
+
+
 @query(
     "score_documents",
     _keyword_scorer_sql(f"WITH c AS (SELECT doc_id, {clean_sql('text')} AS cleaned_text FROM documents)", "doc_id"),

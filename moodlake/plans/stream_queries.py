@@ -5,16 +5,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from moodlake.operators import metrics, trend
+from moodlake.operators.ingest import messages
 from moodlake.operators.posts import clean_posts, decode_posts, stored_shape
 from moodlake.operators.scoring import keyword_scorer, score, score_distinct
 from moodlake.plans.metric_queries import (
     FEED_SQL, KPI_SQL, SENTIMENT_ROW_SQL, SOURCE_ROW_SQL, THROUGHPUT_SQL, TREND_SQL, _shown, shown_feed, start_text,
 )
-from moodlake.plans.posts_view import POSTS_SQL, broker_stream, clean_sql, labelled_from, posts_from_events, stream_table
+from moodlake.plans.posts_view import (
+    POSTS_SQL, broker_stream, clean_sql, labelled_from, posts, posts_from_events, stream_table,
+)
 from moodlake.plans.registry import query
 from moodlake.plans.scoring_queries import _keyword_scorer_sql
 from moodlake.session import scratch_dir
-from moodlake.sources.store import read_enriched
+from moodlake.sources.store import read_enriched, write_enriched
 from moodlake.streaming import enrich, live
 
 # Files arrive in no order of time, so the watermark covers the table's month
@@ -56,6 +59,28 @@ def _(spark, sf_dir):
     return _stored(read_enriched(spark, f"{folder}/store"))
 
 
+@query("stream_then_backfill", _STORED_SQL)
+def _(spark, sf_dir):
+    """One store for all writers: a stream, its restart, a stream with a new checkpoint, a batch job.
+
+    Each takes a quarter of the posts, dealt out by a hash of the message.
+    """
+    folder = scratch_dir(spark, "stream")
+
+    def to_enriched(rows):
+        return enrich.enrich(rows, lambda df: score(df, keyword_scorer))
+
+    quarter = F.pmod(F.xxhash64("value"), F.lit(4))
+    landed = messages(posts(spark, sf_dir)).select("value", quarter.alias("quarter"))
+    # Two files arrive one after the other under one checkpoint, the third under another.
+    for k, checkpoint in ((0, "first"), (1, "first"), (2, "second")):
+        landed.filter(F.col("quarter") == k).select("value").write.mode("append").parquet(f"{folder}/topic-{checkpoint}")
+        source = spark.readStream.schema("value string").parquet(f"{folder}/topic-{checkpoint}")
+        enrich.run(enrich.write_stream(to_enriched(source), f"{folder}/store", f"{folder}/{checkpoint}", trigger=None))
+    write_enriched(to_enriched(landed.filter("quarter = 3").select("value")), f"{folder}/store")
+    return _stored(read_enriched(spark, f"{folder}/store"))
+
+
 def _labelled_stream(spark, sf_dir):
     return labelled_from(posts_from_events(stream_table(spark, sf_dir, "events")))
 

@@ -31,3 +31,6 @@ ENRICHED = T.StructType([
     T.StructField("sentiment_label", T.StringType()),
     T.StructField("confidence_score", T.FloatType()),
 ])
+
+# The same with the reason why a post has no true score; NULL for a true score and in stores without the column.
+STORED = T.StructType([*ENRICHED.fields, T.StructField("inference_error", T.StringType())])

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +44,9 @@ def build_session(
     return spark
 
 
+_scopes = threading.local()
+
+
 @cache
 def _local_root() -> str:
     return tempfile.mkdtemp(prefix="moodlake-")
@@ -57,7 +63,23 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = _local_root()
-    return f"{root.rstrip('/')}/moodlake/{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/moodlake/{name}-{uuid.uuid4().hex}"
+    for scope in getattr(_scopes, "open", [])[-1:]:
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch folders made inside, at the end; tables read from them are gone then."""
+    stack = _scopes.__dict__.setdefault("open", [])
+    stack.append([])
+    try:
+        yield
+    finally:
+        for path in stack.pop():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def scratch_table(df: DataFrame, name: str) -> DataFrame:

@@ -16,11 +16,11 @@ def source_options(
     servers: str,
     topic: str = TOPIC,
     starting_offsets: str = "earliest",
-    max_offsets: int | None = 500,
+    max_offsets: int | None = None,
     min_partitions: int | None = None,
 ) -> dict[str, str]:
-    """Reader options. ``max_offsets`` caps a micro-batch (raise it with the
-    scorer's rate); ``min_partitions`` splits broker partitions over more tasks."""
+    """Reader options. ``max_offsets`` caps a micro-batch (unset: none;
+    choose it by the scorer's rate); ``min_partitions`` splits broker partitions over more tasks."""
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,

@@ -16,7 +16,7 @@ CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIV
 
 
 def inspect_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """One row per non-empty file: its header line (bytes), whether all of it is
+    """One row per file with a line that is not blank: its header, the first such line (bytes), whether all of it is
     UTF-8, and whether some field may hold a newline (a line with an odd number
     of quotes).
 
@@ -38,8 +38,9 @@ def inspect_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     # boolean aggregates, makes Spark aggregate in a hash map; beside the header
     # text it would otherwise sort all lines first.
     files = lines.groupBy("file").agg(
-        F.min_by(F.col("value").cast("binary"), "place").alias("header"), F.collect_set(kind).alias("kinds")
-    )
+        F.min_by(F.col("value").cast("binary"), F.when(F.trim("value") != "", F.col("place"))).alias("header"),
+        F.collect_set(kind).alias("kinds"),
+    ).filter("header IS NOT NULL")
     return files.select(
         "file", "header",
         F.forall("kinds", lambda k: k["utf8"]).alias("is_utf8"),

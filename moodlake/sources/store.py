@@ -1,25 +1,57 @@
-"""The enriched store: Parquet partitioned by sentiment_label."""
+"""The enriched store: Parquet in one folder per write, partitioned by sentiment_label.
+
+Layout: ``write=<id>/sentiment_label=<label>/``. A stream's micro-batch names
+its folder by an id kept with the checkpoint and its number, so a repeated
+batch replaces itself and a new checkpoint replaces nothing; a batch job takes
+a fresh id. Streams, restarts and backfills thus share one store. Stores of the
+older layouts (labels or batch numbers at the top) are read along with it.
+To fold many folders into few, write what ``read_enriched`` gives to a new
+store with ``compact=True``.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from moodlake import schemas
 
+# Top folders: this layout, then the older ones and bare files.
+LAYOUTS = ("write=*", "sentiment_label=*", "batch_id=*", "*.parquet")
+
 
 class EmptyStore(RuntimeError):
     """The store exists but holds no rows."""
 
 
+def _if_there(spark: SparkSession, path: str, pattern: str, schema: StructType) -> DataFrame | None:
+    try:
+        return spark.read.schema(schema).option("basePath", path).parquet(f"{path}/{pattern}")
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def read_enriched(spark: SparkSession, path: str, cache: bool = False) -> DataFrame:
     """Scan the store; labels come from the folder names.
 
-    A missing path raises Spark's own analysis error, an empty store raises
+    ``inference_error`` is NULL where a store has no such column. A missing
+    path raises Spark's own analysis error, an empty store raises
     ``EmptyStore``; finding one row is enough to tell. ``cache`` persists
     before anything is counted, so later counts fill the cache.
     """
-    rows = spark.read.schema(schemas.ENRICHED).parquet(path).select(*schemas.ENRICHED.fieldNames())
+    path, names = path.rstrip("/"), schemas.STORED.fieldNames()
+    parts = [df.select(*names) for p in LAYOUTS if (df := _if_there(spark, path, p, schemas.STORED)) is not None]
+    if not parts:
+        parts = [spark.read.schema(schemas.STORED).parquet(path)]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
     if cache:
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     if rows.isEmpty():
@@ -27,8 +59,8 @@ def read_enriched(spark: SparkSession, path: str, cache: bool = False) -> DataFr
     return rows
 
 
-def write_enriched(rows: DataFrame, path: str, mode: str = "append", compact: bool = False) -> None:
-    """Batch write of enriched posts, for backfills.
+def write_enriched(rows: DataFrame, path: str, compact: bool = False) -> None:
+    """Add enriched posts as one batch, for backfills.
 
     Each task writes its own file per label, without a shuffle. Sorting by time
     inside a file keeps row-group statistics narrow, so time filters skip data.
@@ -36,10 +68,12 @@ def write_enriched(rows: DataFrame, path: str, mode: str = "append", compact: bo
     hint keeps three labels from becoming three writing tasks, since adaptive
     execution splits a label's rows into even parts.
     """
-    rows = rows.select(*schemas.ENRICHED.fieldNames())
+    if "inference_error" not in rows.columns:
+        rows = rows.withColumn("inference_error", F.lit(None).cast("string"))
+    rows = rows.select(*schemas.STORED.fieldNames())
     if compact:
         rows = rows.hint("rebalance", "sentiment_label")
     (
         rows.sortWithinPartitions("sentiment_label", "timestamp")
-        .write.mode(mode).partitionBy("sentiment_label").parquet(path)
+        .write.partitionBy("sentiment_label").parquet(f"{path.rstrip('/')}/write=batch-{uuid.uuid4().hex}")
     )

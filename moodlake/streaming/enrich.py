@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from moodlake.operators.posts import clean_posts, decode_posts, stored_shape
+from moodlake.session import scratch_scope
 
 Score = Callable[[DataFrame], DataFrame]
 
 
-def enrich(broker_rows: DataFrame, score: Score, keep_error: bool = False) -> DataFrame:
+def enrich(broker_rows: DataFrame, score: Score, keep_error: bool = True) -> DataFrame:
     """The whole way from ``value`` to the stored shape; batch and stream alike.
 
     ``score`` adds the scoring columns, e.g. ``lambda df: scoring.score(df, factory)``.
@@ -21,6 +25,22 @@ def enrich(broker_rows: DataFrame, score: Score, keep_error: bool = False) -> Da
     return stored_shape(score(clean_posts(decode_posts(broker_rows))), keep_error)
 
 
+def writer_id(spark: SparkSession, checkpoint: str) -> str:
+    """A name kept with the checkpoint: restarts find it again, a new checkpoint gets a later one in alphabetical order."""
+    path = f"{checkpoint.rstrip('/')}/writer"
+    try:
+        kept = spark.read.text(path).first()
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        kept = None
+    if kept is not None:
+        return kept[0]
+    name = f"s{time.time_ns() // 1_000_000:014d}-{uuid.uuid4().hex[:12]}"
+    spark.createDataFrame([(name,)], "id string").coalesce(1).write.mode("overwrite").text(path)
+    return name
+
+
 def start(
     writer: DataStreamWriter, checkpoint: str, trigger: str | None, name: str | None
 ) -> StreamingQuery:
@@ -35,17 +55,11 @@ def write_stream(
     path: str,
     checkpoint: str,
     trigger: str | None = "10 seconds",
-    name: str | None = "sentiment_parquet_sink",
+    name: str | None = None,
 ) -> StreamingQuery:
-    """Append to the store, one folder per label. ``trigger=None`` works off what
-    is there and stops. Restarting with the same checkpoint resumes."""
-    writer = (
-        enriched.writeStream.format("parquet")
-        .option("path", path)
-        .partitionBy("sentiment_label")
-        .outputMode("append")
-    )
-    return start(writer, checkpoint, trigger, name)
+    """Append to the store. ``trigger=None`` works off what is there and stops.
+    Restarting with the same checkpoint resumes."""
+    return write_stream_batches(enriched, lambda batch: batch, path, checkpoint, trigger, name)
 
 
 def write_stream_batches(
@@ -54,22 +68,23 @@ def write_stream_batches(
     path: str,
     checkpoint: str,
     trigger: str | None = "10 seconds",
-    name: str | None = "sentiment_batch_sink",
+    name: str | None = None,
 ) -> StreamingQuery:
     """Like ``write_stream`` with batch-only steps, such as scoring each distinct
     text of a micro-batch once.
 
-    Each micro-batch owns the folder ``batch_id=<n>`` and replaces it when it is
-    repeated after a failure, so no row is stored twice.
+    Each micro-batch owns a folder named by the checkpoint's id and its number
+    and replaces it when it is repeated after a failure: no row is stored
+    twice, and a stream with another checkpoint touches none of it. Scratch
+    tables of the steps go once the batch is stored.
     """
+    spark = broker_rows.sparkSession
+    writer = writer_id(spark, checkpoint)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        target = f"{path}/batch_id={batch_id}"
-        batch.persist()  # such steps read their input more than once
-        try:
+        target = f"{path.rstrip('/')}/write={writer}-{batch_id}"
+        with scratch_scope(spark):
             to_enriched(batch).write.mode("overwrite").partitionBy("sentiment_label").parquet(target)
-        finally:
-            batch.unpersist()
 
     return start(broker_rows.writeStream.foreachBatch(store), checkpoint, trigger, name)
 

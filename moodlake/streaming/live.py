@@ -4,11 +4,18 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from moodlake.operators.trend import recent_feed
-from moodlake.streaming.enrich import start
+from moodlake.streaming.enrich import start, writer_id
+
+# Where a row was stored; runs are ordered by name. Folders of older versions have no run.
+PLACE = ("run", "batch_id")
+
+
+def _order(rows: DataFrame) -> Column:
+    return F.struct(*[F.col(c) for c in PLACE if c in rows.columns])
 
 
 @contextmanager
@@ -31,7 +38,7 @@ def write_updates(
     name: str | None = None,
     state_partitions: int = 8,
 ) -> StreamingQuery:
-    """Store what each micro-batch changed under ``batch_id=<n>``.
+    """Store what each micro-batch changed under ``run=<checkpoint's id>/batch_id=<n>``.
 
     A repeated batch replaces its folder. ``mode="complete"`` stores the whole
     (small) result each time. Each state partition writes files in every
@@ -39,8 +46,10 @@ def write_updates(
     the shuffle, so a few partitions do however large the stream.
     """
 
+    folder = f"{path.rstrip('/')}/run={writer_id(aggregate.sparkSession, checkpoint)}"
+
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.repartition(1).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.repartition(1).write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
 
     with _shuffle_partitions(aggregate.sparkSession, state_partitions):
         return start(aggregate.writeStream.foreachBatch(store).outputMode(mode), checkpoint, trigger, name)
@@ -55,22 +64,27 @@ def write_feed(
     name: str | None = None,
 ) -> StreamingQuery:
     """Keep the newest ``n`` posts: each micro-batch stores the newest of its own
-    and those of the batch before under ``batch_id=<n>``."""
+    and those of the batch before under ``run=<checkpoint's id>/batch_id=<n>``.
+    A new checkpoint begins a new feed."""
+    folder = f"{path.rstrip('/')}/run={writer_id(posts.sparkSession, checkpoint)}"
 
     def store(batch: DataFrame, batch_id: int) -> None:
         rows = recent_feed(batch, n)
         if batch_id:
-            earlier = batch.sparkSession.read.schema(batch.schema).parquet(f"{path}/batch_id={batch_id - 1}")
+            earlier = batch.sparkSession.read.schema(batch.schema).parquet(f"{folder}/batch_id={batch_id - 1}")
             rows = recent_feed(rows.unionByName(earlier), n)
-        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        rows.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
 
     return start(posts.writeStream.foreachBatch(store), checkpoint, trigger, name)
 
 
 def read_feed(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of the newest batch."""
+    """The rows of the newest batch of the newest run."""
     rows = spark.read.parquet(path)
-    return rows.filter(F.col("batch_id") == rows.agg(F.max("batch_id")).scalar()).drop("batch_id")
+    newest = rows.agg(F.max(_order(rows))).first()[0]
+    if newest is None:
+        return rows.drop(*PLACE)
+    return rows.filter(" AND ".join(f"{k} = '{v}'" for k, v in newest.asDict().items())).drop(*PLACE)
 
 
 def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
@@ -79,6 +93,6 @@ def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     Folders of batches whose rows have all been replaced may be removed at will.
     """
     rows = spark.read.parquet(path)
-    values = [c for c in rows.columns if c not in (*keys, "batch_id")]
-    newest = F.max_by(F.struct(*values), "batch_id").alias("row")
+    values = [c for c in rows.columns if c not in (*keys, *PLACE)]
+    newest = F.max_by(F.struct(*values), _order(rows)).alias("row")
     return rows.groupBy(*keys).agg(newest).select(*keys, "row.*")

@@ -157,9 +157,9 @@ def test_broker_options():
     source = broker.source_options("host:1", min_partitions=64)
     assert source == {
         "kafka.bootstrap.servers": "host:1", "subscribe": "social_sentiment", "startingOffsets": "earliest",
-        "failOnDataLoss": "false", "maxOffsetsPerTrigger": "500", "minPartitions": "64",
+        "failOnDataLoss": "false", "minPartitions": "64",
     }
-    assert "maxOffsetsPerTrigger" not in broker.source_options("host:1", max_offsets=None)
+    assert broker.source_options("host:1", max_offsets=500)["maxOffsetsPerTrigger"] == "500"
     sink = broker.sink_options("host:1")
     assert sink["kafka.acks"] == "all" and sink["kafka.max.in.flight.requests.per.connection"] == "1"
     assert sink["kafka.retries"] == "3" and sink["kafka.linger.ms"] == "10" and sink["kafka.batch.size"] == "32768"

@@ -21,12 +21,16 @@ def test_csv_to_report(spark, folder, capsys):
     with open(folder + "/csv/posts.csv", "w") as f:
         f.write("id,timestamp,tweet_text\n")
         f.writelines(f"{i},2024-01-{i % 28 + 1:02d} 10:00:00,{texts[i % 4]}\n" for i in range(200))
-    counts = ingest.main([folder + "/csv", "--out", folder + "/messages"])
+    counts = ingest.main([folder + "/csv", "--out", folder + "/messages", "--rejects", folder + "/rejects"])
+    assert {r.reject_reason: r["count"] for r in spark.read.json(folder + "/rejects").groupBy("reject_reason").count().collect()} == {
+        "empty_text": 50
+    }
     assert counts == {"read": 200, "accepted": 150, "rejected": 50}
     enrich.main(["--messages", folder + "/messages", "--store", folder + "/store", "--checkpoint", folder + "/ck", "--once"])
     assert spark.read.parquet(folder + "/store").count() == 150
     enrich.main([
         "--messages", folder + "/messages", "--store", folder + "/other", "--checkpoint", folder + "/ck2", "--once", "--distinct",
+        "--scorer", "moodlake.operators.scoring:keyword_scorer", "--tasks", "3",
     ])
     assert spark.read.parquet(folder + "/other").count() == 150
     figures = train.main([
@@ -38,7 +42,13 @@ def test_csv_to_report(spark, folder, capsys):
     capsys.readouterr()
     report.main([folder + "/store", "--term", "love", "--hours", "48", "--view", "Week"])
     out = capsys.readouterr().out
-    assert "posts_per_second" in out and "negative_pct" in out
+    assert "posts_per_second" in out and "negative_pct" in out and "inference_error" in out
+
+
+@pytest.mark.parametrize("flags", [["--distinct"], ["--tasks", "3"], ["--attempts", "1"], ["--model", "m", "--scorer", "a:b"]])
+def test_flags_without_effect_are_refused(flags, capsys):
+    with pytest.raises(SystemExit):
+        enrich.main(["--messages", "m", "--store", "s", "--batch", *flags])
 
 
 def test_train_exit_codes(spark, folder):

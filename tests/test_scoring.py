@@ -1,5 +1,7 @@
 import json
+import os
 import sys
+import uuid
 
 import pytest
 from pyspark import cloudpickle
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 from moodlake.functions.predictions import top_prediction
 from moodlake.functions.text import keyword_sentiment
 from moodlake.operators.scoring import (
-    ModelLoading, RateLimited, RetryPolicy, call_scorer, keyword_scorer, score, score_columns, score_distinct,
+    ModelLoading, RateLimited, Rest, RetryPolicy, call_scorer, keyword_scorer, score, score_columns, score_distinct, score_keywords,
     score_responses,
 )
 
@@ -129,6 +131,61 @@ def test_no_wait_after_the_last_attempt_and_no_halving_when_the_service_is_down(
     assert waits == [2, 4] and calls == [2, 2, 2]
 
 
+@pytest.mark.parametrize("error", [OSError, ConnectionResetError, RateLimited])
+def test_a_dead_service_costs_three_calls_and_then_rests(error):
+    waits, calls, now = [], [], [0.0]
+    policy = RetryPolicy(sleep=waits.append, clock=lambda: now[0])
+    rest = Rest(policy)
+
+    def scorer(texts):
+        calls.append(len(texts))
+        raise error()
+
+    assert call_scorer(scorer, ["a"] * 64, policy, rest) == [FALLBACK] * 64
+    assert len(calls) == 3 and len(waits) == 2
+    for _ in range(5):
+        assert call_scorer(scorer, ["a"] * 64, policy, rest) == [FALLBACK] * 64
+    assert len(calls) == 9
+    now[0] = 61.0  # after the rest it is asked again
+    assert call_scorer(lambda texts: [("LABEL_2", 1.0)] * len(texts), ["a"], policy, rest) == [("Positive", 1.0, None)]
+    assert call_scorer(scorer, ["a"], policy, rest) == [FALLBACK] and len(calls) == 12
+
+
+def test_halving_waits_no_more():
+    waits, calls = [], []
+
+    def scorer(texts):
+        calls.append(len(texts))
+        if "bad" in texts:
+            raise ValueError
+        return [("Positive", 1.0)] * len(texts)
+
+    got = call_scorer(scorer, ["a", "b", "bad", "c"], RetryPolicy(sleep=waits.append))
+    assert got == [("Positive", 1.0, None)] * 2 + [FALLBACK] + [("Positive", 1.0, None)]
+    assert waits == [2, 4] and calls == [4, 4, 4, 2, 2, 1, 1]
+
+
+def test_distinct_scoring_tasks(spark, folder):
+    def factory():
+        open(f"{folder}/{uuid.uuid4().hex}", "w").close()
+        return lambda texts: [("Positive", 0.5)] * len(texts)
+
+    df = posts(spark, [f"text {i}" for i in range(500)])
+    assert score_distinct(df, factory, tasks=5).count() == 500
+    assert len(os.listdir(folder)) == 5
+
+
+def test_moving_input_invents_no_neutral(spark):
+    df = posts(spark, ["x"] * 200).withColumn("cleaned_text", F.concat(F.lit("best "), F.expr("uuid()")))
+    got = results(score_distinct(df, keyword_scorer, hot_share=0.5))
+    assert set(got.values()) == {("Positive", 1.0, None)}
+
+
+def test_native_keywords_equal_the_scorer(spark):
+    df = posts(spark, ["best thing", "worst thing", "best worst", "plain", "", None, " ", "AMAZING fixes"])
+    assert results(score_keywords(df)) == results(score(df, keyword_scorer))
+
+
 def test_equal_texts_of_a_batch_are_asked_once():
     from moodlake.operators.scoring import _scoring_udf
     import pandas as pd

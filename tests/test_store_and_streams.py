@@ -5,10 +5,11 @@ import pytest
 from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
-from moodlake import schemas
+from moodlake import schemas, session
 from moodlake.operators import metrics, trend
+from moodlake.operators.classifier import trainable
 from moodlake.operators.posts import clean_posts, decode_posts, stored_shape
-from moodlake.operators.scoring import keyword_scorer, score, score_distinct
+from moodlake.operators.scoring import RetryPolicy, keyword_scorer, score, score_distinct
 from moodlake.sources.store import EmptyStore, read_enriched, write_enriched
 from moodlake.streaming import enrich, live
 
@@ -68,7 +69,7 @@ def test_batches_with_distinct_scoring(spark, broker):
         assert enrich.run(enrich.write_stream_batches(
             source, to_enriched, broker + "/store", broker + "/checkpoint", trigger=None
         ))
-    assert sorted(d for d in os.listdir(broker + "/store") if d.startswith("batch")) == ["batch_id=0", "batch_id=1"]
+    assert sorted(d[-2:] for d in os.listdir(broker + "/store")) == ["-0", "-1"]
     stored = read_enriched(spark, broker + "/store")
     assert rows(stored) == rows(enrich.enrich(spark.read.text(broker + "/in"), scorer))
 
@@ -147,7 +148,8 @@ def test_rows_later_than_the_watermark_are_dropped(spark, folder):
 def test_live_feed_over_several_batches(spark, broker):
     query = live.write_feed(labelled_stream(spark, broker), broker + "/feed", broker + "/feed-checkpoint", trigger=None)
     assert enrich.run(query)
-    assert len([d for d in os.listdir(broker + "/feed") if d.startswith("batch_id")]) == 2
+    (run,) = [d for d in os.listdir(broker + "/feed") if d.startswith("run=")]
+    assert len([d for d in os.listdir(f"{broker}/feed/{run}") if d.startswith("batch_id")]) == 2
     batch = enrich.enrich(spark.read.text(broker + "/in"), scorer).filter("timestamp is not null")
     assert rows(live.read_feed(spark, broker + "/feed")) == rows(trend.recent_feed(batch))
 
@@ -195,4 +197,100 @@ def test_unlabelled_rows_get_no_default_partition(spark, folder):
         " confidence_score float",
     )
     write_enriched(stored_shape(df), folder + "/s")
-    assert [d for d in os.listdir(folder + "/s") if "=" in d] == ["sentiment_label=Neutral"]
+    (write,) = os.listdir(folder + "/s")
+    assert [d for d in os.listdir(f"{folder}/s/{write}") if "=" in d] == ["sentiment_label=Neutral"]
+
+
+def enriched_batch(spark, folder):
+    return enrich.enrich(spark.read.text(folder + "/in"), scorer)
+
+
+def test_backfill_into_a_streamed_store_is_read(spark, broker):
+    streamed = run_stream(spark, broker)
+    write_enriched(enriched_batch(spark, broker), broker + "/store")
+    assert rows(read_enriched(spark, broker + "/store")) == sorted(2 * rows(enriched_batch(spark, broker)))
+    assert streamed.count() == 62
+
+
+@pytest.mark.parametrize("distinct", [False, True])
+def test_new_checkpoint_and_backfill_lose_nothing(spark, broker, distinct):
+    def stream(checkpoint, name):
+        source = spark.readStream.text(f"{broker}/{name}")
+        if distinct:
+            def to_enriched(batch):
+                return enrich.enrich(batch, lambda df: score_distinct(df, keyword_scorer))
+            query = enrich.write_stream_batches(source, to_enriched, broker + "/store", broker + checkpoint, trigger=None)
+        else:
+            query = enrich.write_stream(enrich.enrich(source, scorer), broker + "/store", broker + checkpoint, trigger=None)
+        assert enrich.run(query)
+
+    stream("/c1", "in")
+    os.makedirs(broker + "/later")
+    write_messages(broker + "/later", "x.txt", range(60, 80))
+    stream("/c2", "later")
+    write_enriched(enriched_batch(spark, broker), broker + "/store")
+    assert read_enriched(spark, broker + "/store").count() == 62 + 21 + 62
+
+
+def test_old_layouts_are_read_along(spark, broker):
+    old = enriched_batch(spark, broker).drop("inference_error")
+    old.write.partitionBy("sentiment_label").parquet(broker + "/store")
+    old.write.partitionBy("sentiment_label").parquet(broker + "/store/batch_id=0")
+    write_enriched(enriched_batch(spark, broker), broker + "/store")
+    assert read_enriched(spark, broker + "/store").count() == 3 * 62
+
+
+def test_new_checkpoint_of_the_feed(spark, broker):
+    def run(checkpoint):
+        assert enrich.run(live.write_feed(labelled_stream(spark, broker), broker + "/feed", broker + checkpoint, trigger=None))
+        return live.read_feed(spark, broker + "/feed")
+
+    run("/f1")
+    write_messages(broker + "/in", "c.txt", range(60, 90))
+    batch = enriched_batch(spark, broker).filter("timestamp is not null")
+    assert rows(run("/f2")) == rows(trend.recent_feed(batch))
+
+
+def test_new_checkpoint_of_live_figures(spark, broker):
+    def run(checkpoint):
+        points = trend.sentiment_trend(labelled_stream(spark, broker), watermark="30 days")
+        assert enrich.run(live.write_updates(points, broker + "/live", broker + checkpoint, trigger=None))
+        return live.read_latest(spark, broker + "/live", ["window_start"])
+
+    run("/l1")
+    write_messages(broker + "/in", "c.txt", range(60, 90))
+    batch = enriched_batch(spark, broker).filter("timestamp is not null")
+    assert rows(run("/l2")) == rows(trend.sentiment_trend(batch))
+
+
+def test_failed_calls_are_stored_and_never_learned_from(spark, broker):
+    def failing():
+        def run(texts):
+            raise OSError("no service")
+        return run
+
+    quick = RetryPolicy(sleep=lambda seconds: None)
+    failed = enrich.enrich(spark.read.text(broker + "/in"), lambda df: score(df, failing, retry=quick))
+    write_enriched(failed, broker + "/failed")
+    stored = read_enriched(spark, broker + "/failed")
+    assert {r.inference_error for r in stored.collect()} == {"api_unavailable", "empty_text"}
+    assert trainable(stored).count() == 0
+    shares = {r.inference_error: r.n for r in metrics.failure_rate(stored).collect()}
+    assert sum(shares.values()) == 62 and "none" not in shares
+
+
+def test_scratch_tables_of_a_batch_go(spark, broker, monkeypatch):
+    made, real = [], session.scratch_dir
+
+    def noted(spark, name):
+        made.append(real(spark, name))
+        return made[-1]
+
+    monkeypatch.setattr(session, "scratch_dir", noted)
+    source = spark.readStream.text(broker + "/in")
+    assert enrich.run(enrich.write_stream_batches(
+        source, lambda b: enrich.enrich(b, lambda df: score_distinct(df, keyword_scorer)),
+        broker + "/store", broker + "/ck", trigger=None,
+    ))
+    assert len(made) == 2 and not any(os.path.exists(p) for p in made)
+    assert read_enriched(spark, broker + "/store").count() == 62
