@@ -7,9 +7,11 @@ halves that differ in one bit meet in that bit's list, on opposite sides. Every
 link is thus found by equality of a signature and then verified on all 64 bits.
 
 Copies share one fingerprint, and signatures are made of distinct fingerprints
-only, so that a group of copies is one row however large. A signature shared by
-many fingerprints is cut into blocks; a task compares two blocks and gives a
-spanning forest of their links, never all pairs.
+only, so that a group of copies is one row however large. Signatures are counted
+with partial sums; two fingerprints that share one are verified on the spot. A
+signature shared by more is cut into blocks by a hash, so that no task gathers
+all of it; a task compares two blocks and gives a spanning forest of their
+links, never all pairs.
 
 Defined results: texts without words, NULL included, have fingerprint zero and
 are linked like any other; repeated rows have the same fingerprint; a NULL id
@@ -106,12 +108,16 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) ->
     if max_bits > 3:
         raise ValueError("two halves find differences of at most three bits")
     met = signatures(distinct)
-    met = met.selectExpr(
-        "key", "fp", "whole", "count(*) OVER (PARTITION BY key) AS n", "min(side) OVER (PARTITION BY key) AS low",
-        "max(side) OVER (PARTITION BY key) AS high", "row_number() OVER (PARTITION BY key ORDER BY fp) AS r",
-    ).filter("n > 1 AND (whole OR low < high)").select("key", "fp", "n", "r")
-    met = scratch_table(met, "signatures")
-    blocks = met.selectExpr("key", "fp", f"(r - 1) div {block} AS own", f"(n + {block - 1}) div {block} AS blocks")
+    keys = met.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"),
+        (F.max("whole") | (F.min("side") < F.max("side"))).alias("meets"),
+    ).filter("n > 1 AND meets")
+    keys = scratch_table(keys.select("key", "n", "a", "b"), "signatures")
+    two = keys.filter(f"n = 2 AND bit_count(a ^ b) <= {max_bits}").select("a", "b")
+    many = keys.filter("n > 2").selectExpr("key", "n", f"(n + {block - 1}) div {block} AS blocks")
+    blocks = join_hot(met.select("key", "fp"), many, "key", "n").filter("blocks IS NOT NULL").selectExpr(
+        "key", "fp", "pmod(xxhash64(fp), blocks) AS own", "blocks"
+    )
     paired = blocks.select(
         "key", "fp", F.explode(F.expr("transform(sequence(0L, blocks - 1), x -> struct(least(x, own) AS lo, greatest(x, own) AS hi))")).alias("p")
     ).select("key", "p.lo", "p.hi", "fp")
@@ -127,7 +133,7 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) ->
         if len(held):
             yield _linked(held, _starts(held), max_bits)
 
-    return paired.mapInArrow(run, "a bigint, b bigint").distinct()
+    return two.unionByName(paired.mapInArrow(run, "a bigint, b bigint")).distinct()
 
 
 def _starts(rows: np.ndarray) -> np.ndarray:
