@@ -22,6 +22,7 @@ def stars(links: DataFrame, a: str, b: str) -> DataFrame:
     edges = checkpointed(
         links.select(F.greatest(a, b).alias("node"), F.least(a, b).alias("root")).filter("node <> root").distinct()
     )
+    known = _signature(edges)
     for _ in range(MOST_ROUNDS):
         both = edges.unionByName(edges.select(F.col("root").alias("node"), F.col("node").alias("root")))
         least = both.groupBy("node").agg(F.min("root").alias("low")).withColumn("low", F.least("low", "node"))
@@ -32,10 +33,9 @@ def stars(links: DataFrame, a: str, b: str) -> DataFrame:
         small = small.filter("root > low").select(F.col("root").alias("node"), F.col("low").alias("root")).unionByName(
             low.select("node", F.col("low").alias("root"))
         ).distinct()
-        after = checkpointed(small)
-        same = _signature(after) == _signature(edges)
-        edges = after
-        if same:
+        edges, before = checkpointed(small), known
+        known = _signature(edges)
+        if known == before:
             return edges
     raise RuntimeError("components did not settle")
 
