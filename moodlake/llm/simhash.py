@@ -107,7 +107,9 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) ->
     """``a``, ``b``: links between distinct fingerprints that connect whatever differs in at most ``max_bits`` bits."""
     if max_bits > 3:
         raise ValueError("two halves find differences of at most three bits")
-    met = signatures(distinct)
+    # A row becomes 66 signatures, so the few tasks that read a small table are not enough; a stated number is not merged.
+    tasks = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = signatures(distinct.repartition(tasks, "fp"))
     keys = met.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"),
         (F.max("whole") | (F.min("side") < F.max("side"))).alias("meets"),
