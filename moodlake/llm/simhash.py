@@ -182,14 +182,21 @@ def fingerprint_hex(fp: str = "fp"):
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The document with the smallest id of each class, its columns unchanged.
+    """The smallest row of each class, its columns unchanged: by id (NULL last), then by text, then by all other columns.
 
-    Rows that repeat that id are narrowed to one row: the first by text, then by all other columns.
+    A class is named by the least MD5 of its texts, never by an id: rows that share an id, or have none, stand for themselves.
     """
-    chosen = near_duplicates(docs, id_col, text).filter(F.col(id_col).eqNullSafe(F.col("component_id")))
-    chosen = chosen.select(F.col(id_col).alias("_keep")).distinct()
-    kept = docs.join(chosen, F.col(id_col).eqNullSafe(F.col("_keep")), "left_semi")
-    others = [c for c in docs.columns if c != id_col]
-    return kept.groupBy(id_col).agg(F.min(F.struct(*others)).alias("_row")).select(
-        *[F.col(id_col) if c == id_col else F.col(f"_row.{c}").alias(c) for c in docs.columns]
-    )
+    key = F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
+    found = near_duplicates(docs.select(key.alias("_key"), F.col(text).alias("_text")), "_key", "_text")
+    classes = found.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.min("component_id").alias("_class"))
+    joined = join_hot(docs.withColumn("_key", key), scratch_table(classes, "text_classes"), "_key", "_n")
+    return smallest(joined, "_class", docs.columns, id_col, text)
+
+
+def smallest(rows: DataFrame, by: str, columns: list[str], id_col: str, text: str) -> DataFrame:
+    """One row per value of ``by``: the smallest by id (NULL last), then text, then all other columns."""
+    others = [c for c in columns if c not in (id_col, text)]
+    order = [F.col(id_col).isNull().alias("_none"), *[F.col(c).alias(f"_{i}") for i, c in enumerate([id_col, text, *others])]]
+    least = rows.groupBy(by).agg(F.min(F.struct(*order)).alias("_row"))
+    place = {c: f"_row._{i}" for i, c in enumerate([id_col, text, *others])}
+    return least.select(*[F.col(place[c]).alias(c) for c in columns])

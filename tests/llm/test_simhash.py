@@ -105,3 +105,13 @@ def test_edges(edge_docs, no_docs):
     ids = [r.doc_id for r in kept.collect()]
     assert len(ids) == len(set(ids)) and {1, 2, 6}.isdisjoint(ids) and {0, 4, 5, None} <= set(ids)
     assert simhash.keep_one(no_docs).count() == 0
+
+
+def test_rows_that_share_an_id_or_have_none_stand_for_themselves(spark):
+    """Different texts stay whatever their ids; a copy goes although its id is repeated."""
+    texts = [" ".join(f"{c}{i}" for i in range(30)) for c in "abcd"]
+    a, b, c, d = texts
+    rows = [(None, c), (None, d), (None, d), (3, a), (5, a), (5, b), (7, b), (9, None), (8, "")]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, lang string")
+    kept = [(r.doc_id, r.text) for r in simhash.keep_one(docs).collect()]
+    assert sorted(kept, key=str) == sorted([(None, c), (None, d), (3, a), (5, b), (8, "")], key=str)
