@@ -29,6 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from moodlake.llm import minhash
 from moodlake.llm.common import join_hot, scratch_table
 from moodlake.llm.components import stars
 
@@ -184,13 +185,15 @@ def fingerprint_hex(fp: str = "fp"):
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The smallest row of each class, its columns unchanged: by id (NULL last), then by text, then by all other columns.
 
-    A class is named by the least MD5 of its texts, never by an id: rows that share an id, or have none, stand for themselves.
+    Classes are those of ``minhash``: links have a Jaccard similarity of at least 0.8 over five-word shingles. Rows are told by
+    the MD5 of their text, never by an id: rows that share an id, or have none, stand for themselves.
     """
     key = F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
-    found = near_duplicates(docs.select(key.alias("_key"), F.col(text).alias("_text")), "_key", "_text")
-    classes = found.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.min("component_id").alias("_class"))
-    joined = join_hot(docs.withColumn("_key", key), scratch_table(classes, "text_classes"), "_key", "_n")
-    return smallest(joined, "_class", docs.columns, id_col, text)
+    found = minhash.classes(docs.select(key.alias("_key"), F.col(text).alias("_text")), "_key", "_text")
+    found = scratch_table(found.select("_key", F.col("n").alias("_n"), F.col("root").alias("_class")), "text_classes")
+    joined = join_hot(docs.withColumn("_key", key), found, "_key", "_n")
+    single = joined.filter("_class IS NULL").select(*docs.columns)
+    return single.unionByName(smallest(joined.filter("_class IS NOT NULL"), "_class", docs.columns, id_col, text))
 
 
 def smallest(rows: DataFrame, by: str, columns: list[str], id_col: str, text: str) -> DataFrame:

@@ -1,0 +1,67 @@
+import numpy as np
+
+from moodlake.llm import minhash, simhash
+
+
+def brute_set(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i:i + 5]) for i in range(len(words) - 4)} or ({tuple(words)} if words else set())
+
+
+def brute_kept(rows):
+    """The smallest row of each class over pairs with a similarity of 0.8 or more."""
+    sets, root = [brute_set(t) for _, t in rows], list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or 5 * len(a & b) >= 4 * len(a | b):
+                root[find(i)] = find(j)
+    best = {}
+    for i, (n, t) in enumerate(rows):
+        best[find(i)] = min(best.get(find(i), (True, 0, "")), (n is None, n or 0, t or ""))
+    return sorted((None if none else n, t) for none, n, t in best.values())
+
+
+def edited(rng, words, share):
+    out = list(words)
+    for i in rng.choice(len(out), max(1, int(share * len(out))), replace=False):
+        out[i] = f"new{rng.integers(1 << 30)}"
+    return out
+
+
+def test_stage_finds_pairs_at_eighty_per_cent(spark):
+    """Edits of one to four words in a hundred: similarities on both sides of 0.8, which three bits of a SimHash miss."""
+    rng = np.random.default_rng(3)
+    rows, far = [], 0
+    for n in range(60):
+        words = [f"w{rng.integers(1 << 30)}" for _ in range(100)]
+        for k, share in enumerate((0, 0.01, 0.02, 0.03, 0.04)):
+            rows.append((10 * n + k, " ".join(edited(rng, words, share) if k else words)))
+        prints = [simhash.fingerprint(t) for _, t in rows[-5:]]
+        far += sum((prints[0] ^ p).bit_count() > 3 and len(brute_set(rows[-5][1]) & brute_set(t)) >= 86 for p, (_, t) in zip(prints, rows[-5:]))
+    assert far > 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, simhash.keep_one(docs).collect())) == brute_kept(rows)
+
+
+def test_large_group_in_blocks_and_forest(spark):
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join(edited(rng, words, 0.01))) for i in range(90)] + [(100 + i, " ".join(words)) for i in range(5)]
+    rows += [(200 + i, f"short {i}") for i in range(5)]
+    docs = spark.createDataFrame([(str(i).encode() if i < 100 or i > 199 else b"same", t) for i, t in rows], "key binary, text string")
+    got = minhash.classes(docs, "key", "text", block=7).collect()
+    assert sum(r.n for r in got) == 95 and len({r.root for r in got}) == 1 and len(got) == 91
+    sets = [np.unique(rng.integers(0, 30, 25).astype(np.uint64)) for _ in range(40)]
+    near = {(i, j) for i in range(40) for j in range(i) if 5 * len(set(sets[i]) & set(sets[j])) >= 4 * len(set(sets[i]) | set(sets[j]))}
+    links = minhash.forest(sets)
+    assert {(max(p), min(p)) for p in links} <= near
+    label = list(range(40))
+    for a, b in links:
+        label = [label[a] if x == label[b] else x for x in label]
+    assert all(label[i] == label[j] for i, j in near)
