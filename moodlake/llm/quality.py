@@ -17,6 +17,8 @@ except that ``judge`` replaces a column that has the name of one of its own.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -121,8 +123,13 @@ def _fails(rule: str) -> Column:
 def host_rates(measured: DataFrame, host: str = "source") -> DataFrame:
     """One row per host: its documents, and for each rule its failures and shrunk failure rate.
 
-    The prior of a rule is the beta distribution with the mean and the
-    variance of the hosts' rates, weighted by their documents. Failures are
+    The prior of a rule is the beta distribution with the mean of the hosts'
+    rates, weighted by their documents, and with their variance less what
+    binomial sampling adds to it (beta-binomial moments). Two standard errors of
+    the hosts' correlation are taken off it, so hosts too small to show a
+    difference between hosts give the widest weight. Where large hosts fail a
+    rule nearly always or nearly never, the least weight holds and one failure
+    still speaks against a host of one document. Failures are
     added up before the shuffle, so a host with a third of all rows is one row
     per task. One row with the sums of all hosts goes to the driver.
     """
@@ -131,7 +138,9 @@ def host_rates(measured: DataFrame, host: str = "source") -> DataFrame:
         *[F.sum(F.coalesce(_fails(rule), F.lit(False)).cast("long")).alias(f"{rule}_failed") for rule in HOST_RULES],
     )
     hosts = scratch_table(hosts, "hosts")
-    sums = hosts.agg(F.sum("n_docs").alias("n"), *[F.sum(f"{rule}_failed").alias(rule) for rule in HOST_RULES]).first()
+    square = F.col("n_docs").cast("decimal(19,0)") * F.col("n_docs").cast("decimal(19,0)")
+    sums = hosts.agg(F.sum("n_docs").alias("n"), F.count(F.lit(1)).alias("hosts"), F.sum(square).alias("squares"),
+                     F.sum(1 - 1 / F.col("n_docs")).alias("free"), *[F.sum(f"{rule}_failed").alias(rule) for rule in HOST_RULES]).first()
     if not sums["n"]:
         return hosts.select("*", *[F.lit(0.0).alias(f"{rule}_rate") for rule in HOST_RULES])
     mean = {rule: sums[rule] / sums["n"] for rule in HOST_RULES}
@@ -142,7 +151,13 @@ def host_rates(measured: DataFrame, host: str = "source") -> DataFrame:
 
     def shrunk(rule: str) -> Column:
         m, v = mean[rule], spread[rule]
-        weight = m * (1 - m) / v - 1 if v > 0 else MOST_WEIGHT
+        n, others = sums["n"], sums["hosts"] - 1
+        # E[v] / (m (1 - m)) = others / n + correlation * known / n; known is 0 where every host has one document.
+        known = (n * (n - others) - int(sums["squares"])) / n
+        weight = MOST_WEIGHT
+        if v > 0 and known > 0:
+            correlation = min((v * n / (m * (1 - m)) - others) / known, 1.0) - 2 * math.sqrt(2 * sums["free"]) / known
+            weight = 1 / correlation - 1 if correlation > 0 else MOST_WEIGHT
         weight = min(max(weight, LEAST_WEIGHT), MOST_WEIGHT)
         return (F.col(f"{rule}_failed") + m * weight) / (F.col("n_docs") + weight)
 

@@ -66,3 +66,16 @@ def test_one_host_and_many_hosts(spark):
     rows = [(i, " ".join(f"word{i}" for i in range(30)), f"h{i}" if i % 3 else "hot") for i in range(3000)]
     got = quality.judge(spark.createDataFrame(rows, "doc_id long, text string, source string"))
     assert got.count() == 3000 and got.filter("kept").count() == 3000
+
+
+def test_single_document_hosts_are_not_blamed_for_their_own_failure(spark):
+    """The spread of such hosts is sampling noise; a host that fails in general still stands out."""
+    bad, good = " ".join(f"w{i} #" for i in range(30)), " ".join(f"word{i}" for i in range(30))
+    rows = [(i, good if i % 10 else bad, f"h{i}") for i in range(1000)]
+    fields = "doc_id long, text string, source string"
+    assert quality.judge(spark.createDataFrame(rows, fields)).filter("kept").count() == 1000
+    pair = [(2000, bad, "pair"), (2001, bad, "pair")]
+    assert quality.judge(spark.createDataFrame(rows + pair, fields)).filter("kept AND doc_id < 1000").count() == 1000
+    large = [(3000 + i, good if i % 10 else bad, f"large{i % 4}") for i in range(400)] + [(5000 + i, bad, "worst") for i in range(30)]
+    kept = {r.doc_id for r in quality.judge(spark.createDataFrame(rows + large, fields)).filter("kept").collect()}
+    assert kept >= set(range(1000)) and {n for n in kept if n >= 5000} == set()
