@@ -69,14 +69,22 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: str
 
 
 def parse(data: bytes) -> dict:
-    """Headers and payload of one record."""
+    """Headers and payload of one record; length and digest of a response are those of the payload read, and must be the stated ones."""
     head, _, rest = data.partition(b"\r\n\r\n")
     lines = head.decode().split("\r\n")
     headers = dict(line.split(": ", 1) for line in lines[1:])
-    block = rest[:int(headers["Content-Length"])]
+    name, size = headers["WARC-Record-ID"], int(headers["Content-Length"])
+    block = rest[:size]
     http, _, payload = block.partition(b"\r\n\r\n")
     length = next(int(x.split(b": ")[1]) for x in http.split(b"\r\n") if x.startswith(b"Content-Length: "))
-    return {"headers": headers, "payload": payload, "payload_bytes": length}
+    digest = headers["WARC-Payload-Digest"].removeprefix("sha1:")
+    if rest[size:] != b"\r\n\r\n":
+        raise ValueError(f"{name}: the record does not end where its Content-Length says")
+    if headers["WARC-Type"] == "response":
+        read = len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        if read != (length, digest):
+            raise ValueError(f"{name}: payload of {read[0]} bytes and digest {read[1]}, stated are {length} and {digest}")
+    return {"headers": headers, "payload": payload, "payload_bytes": length, "payload_digest": digest}
 
 
 class Bundle:
@@ -206,7 +214,7 @@ def read(index: DataFrame) -> DataFrame:
                 out.append((
                     _page_of(headers["WARC-Record-ID"]),
                     None if link is None else re.sub(r"%([0-9A-F]{2})", lambda m: chr(int(m[1], 16)), link),
-                    got["payload_bytes"], headers["WARC-Payload-Digest"].removeprefix("sha1:"), kind,
+                    got["payload_bytes"], got["payload_digest"], kind,
                     _page_of(headers["WARC-Refers-To"]) if kind == "revisit" else None,
                 ))
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64()]

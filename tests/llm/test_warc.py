@@ -65,3 +65,16 @@ def test_index_finds_single_records(spark):
     frame = spark.createDataFrame([(i, "u", f"text {i}") for i in range(30)], "page_id long, url string, html string")
     index = warc.write(frame)
     assert [r.page_id for r in warc.read(index.filter("record_id = 'urn:page:7'")).collect()] == [7]
+
+
+def test_damaged_payload_is_refused():
+    data = warc.record(1, "http://a", b"payload one", None)
+    assert warc.parse(data)["payload_digest"] == base64.b32encode(hashlib.sha1(b"payload one").digest()).decode()
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "
+    short = data.replace(http + b"11", http + b"10")
+    assert short != data
+    for wrong in (data.replace(b"payload one", b"payload two"), data[:-6], data[:-4], short):
+        with pytest.raises(ValueError):
+            warc.parse(wrong)
+    revisit = warc.parse(warc.record(2, None, b"payload one", "urn:page:1"))
+    assert (revisit["payload"], revisit["payload_bytes"]) == (b"", 11)
