@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodlake.llm import ann, bpe, mixing, quality, rollup, secrets, simhash, substring, urls, warc
+from moodlake.llm import alignment, ann, bpe, mixing, quality, rollup, secrets, simhash, substring, urls, warc
 from moodlake.llm.common import scratch_dir, table
 from moodlake.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
 VOCABULARY, MULTILINGUAL = "byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken"
+LEFT, RIGHT = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 OP7_SQL = r"""
 WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -113,3 +114,9 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc.write(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return warc.read(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op13_tokenizer_alignment")
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.link_counts(docs, public_tokenizers.path(LEFT), public_tokenizers.path(RIGHT), public_tokenizers.PATTERN)
