@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodlake.llm import alignment, ann, bpe, mixing, quality, rollup, secrets, simhash, substring, urls, warc
+from moodlake.llm import alignment, ann, bpe, mixing, quality, rollup, secrets, sharding, simhash, substring, turns, urls, warc
 from moodlake.llm.common import scratch_dir, table
 from moodlake.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -116,6 +116,21 @@ def op10_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query("op11_sharding")
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.shard(sharding.packed(docs, keep_text=False)).select(
+        "row.doc_id", "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query("op12_conversation_repair")
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return turns.report_all(turns.damage(rows), rows)
+
+
 @query("op13_tokenizer_alignment")
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
