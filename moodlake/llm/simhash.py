@@ -29,7 +29,6 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodlake.llm import minhash
 from moodlake.llm.common import join_hot, scratch_table
 from moodlake.llm.components import stars
 
@@ -160,19 +159,22 @@ def _linked(rows: np.ndarray, starts: np.ndarray, max_bits: int) -> pa.RecordBat
     )
 
 
+def rooted(own: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """``fp``, its number of rows ``n``, the smallest of their ids ``first``, and the ``root`` of its component, from ``_id`` and ``fp`` of every row."""
+    counted = scratch_table(own.groupBy("fp").agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("first")), "distinct")
+    found = stars(links(counted.select("fp"), max_bits), "a", "b")
+    joined = counted.join(found.select(F.col("node").alias("fp"), "root"), "fp", "left")
+    return scratch_table(joined.select("fp", "n", "first", F.coalesce("root", "fp").alias("root")), "rooted")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS,
 ) -> DataFrame:
     """``id_col``, ``fp`` (long) and ``component_id``: the smallest id that links reach, one row per row of ``docs``."""
     own = scratch_table(fingerprints(docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text")), "_text", shingle), "fingerprints")
-    counted = scratch_table(own.groupBy("fp").agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("first")), "distinct")
-    found = stars(links(counted.select("fp"), max_bits), "a", "b")
-    rooted = counted.join(found.select(F.col("node").alias("fp"), "root"), "fp", "left").select(
-        "fp", "n", "first", F.coalesce("root", "fp").alias("root")
-    )
-    rooted = scratch_table(rooted, "rooted")
-    lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = rooted.join(lowest, "root").select("fp", "n", "component_id")
+    found = rooted(own, max_bits)
+    lowest = found.groupBy("root").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("fps"))
+    classes = join_hot(found, scratch_table(lowest, "lowest"), "root", "fps").select("fp", "n", "component_id")
     joined = join_hot(own, scratch_table(classes, "classes"), "fp", "n")
     return joined.select(F.col("_id").alias(id_col), "fp", "component_id")
 
@@ -182,24 +184,34 @@ def fingerprint_hex(fp: str = "fp"):
     return F.lower(F.lpad(F.hex(F.col(fp)), 16, "0"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS,
+) -> DataFrame:
     """The smallest row of each class, its columns unchanged: by id (NULL last), then by text, then by all other columns.
 
-    Classes are those of ``minhash``: links have a Jaccard similarity of at least 0.8 over five-word shingles. Rows are told by
-    the MD5 of their text, never by an id: rows that share an id, or have none, stand for themselves.
+    Rows are told by the MD5 of their text, never by an id: rows that share an id, or have none, stand for themselves.
+    Whole rows move once, to learn their class; only rows of classes with several rows move again. Input columns are
+    carried in one struct, whatever their names.
     """
-    key = F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
-    found = minhash.classes(docs.select(key.alias("_key"), F.col(text).alias("_text")), "_key", "_text")
-    found = scratch_table(found.select("_key", F.col("n").alias("_n"), F.col("root").alias("_class")), "text_classes")
-    joined = join_hot(docs.withColumn("_key", key), found, "_key", "_n")
-    single = joined.filter("_class IS NULL").select(*docs.columns)
-    return single.unionByName(smallest(joined.filter("_class IS NOT NULL"), "_class", docs.columns, id_col, text))
-
-
-def smallest(rows: DataFrame, by: str, columns: list[str], id_col: str, text: str) -> DataFrame:
-    """One row per value of ``by``: the smallest by id (NULL last), then text, then all other columns."""
-    others = [c for c in columns if c not in (id_col, text)]
-    order = [F.col(id_col).isNull().alias("_none"), *[F.col(c).alias(f"_{i}") for i, c in enumerate([id_col, text, *others])]]
-    least = rows.groupBy(by).agg(F.min(F.struct(*order)).alias("_row"))
-    place = {c: f"_row._{i}" for i, c in enumerate([id_col, text, *others])}
-    return least.select(*[F.col(place[c]).alias(c) for c in columns])
+    key = F.unhex(F.md5(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
+    own = fingerprints(docs.select(key.alias("_id"), F.col(f"`{text}`").alias("_text")), "_text", shingle)
+    # Of equal texts the fingerprints are equal.
+    texts = scratch_table(own.groupBy("_id").agg(F.count(F.lit(1)).alias("rows"), F.first("fp").alias("fp")), "texts")
+    found = rooted(texts, max_bits).select("fp", "n", "root")
+    placed = scratch_table(join_hot(texts, found, "fp", "n").select(F.col("_id").alias("key"), "rows", "root"), "placed")
+    sizes = placed.groupBy("root").agg(F.count(F.lit(1)).alias("texts"), F.sum("rows").alias("total")).filter("total > 1")
+    several = join_hot(placed, scratch_table(sizes, "sizes"), "root", "texts").filter("total IS NOT NULL")
+    lookup = scratch_table(several.select("key", "rows", F.col("root").alias("class")), "text_classes")
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key"))
+    joined = join_hot(packed, lookup, "key", "rows")
+    single = joined.filter("class IS NULL").select("row.*")
+    company = joined.filter("class IS NOT NULL").select("class", "row")
+    return single.unionByName(smallest(company, docs.columns, id_col, text))
+
+
+def smallest(rows: DataFrame, columns: list[str], id_col: str, text: str) -> DataFrame:
+    """One ``row`` per ``class``, unpacked: the smallest by id (NULL last), then text, then all other columns."""
+    named = [id_col, text, *[c for c in columns if c not in (id_col, text)]]
+    order = [F.col("row")[id_col].isNull().alias("none"), *[F.col("row")[c].alias(f"_{i}") for i, c in enumerate(named)]]
+    least = rows.groupBy("class").agg(F.min(F.struct(*order)).alias("least"))
+    return least.select(*[F.col("least")[f"_{named.index(c)}"].alias(c) for c in columns])

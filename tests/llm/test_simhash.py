@@ -115,3 +115,36 @@ def test_rows_that_share_an_id_or_have_none_stand_for_themselves(spark):
     docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, lang string")
     kept = [(r.doc_id, r.text) for r in simhash.keep_one(docs).collect()]
     assert sorted(kept, key=str) == sorted([(None, c), (None, d), (3, a), (5, b), (8, "")], key=str)
+
+
+def test_keep_one_against_brute_force(spark):
+    """Light edits, copies, repeated and missing ids, columns with names the operator uses itself."""
+    rng = np.random.default_rng(5)
+    base = [" ".join(f"w{k}" for k in rng.integers(0, 4000, 60 + i)) for i in range(30)]
+    texts = [*base, *base[:12], None, "", "short", "short one", "short"]
+    for text in base[:25]:
+        words = text.split()
+        words[int(rng.integers(0, len(words)))] = "edited"
+        texts.append(" ".join(words))
+    rows = [(None if i % 9 == 0 else int(rng.integers(0, 60)), t, i, b"k", 0) for i, t in enumerate(texts)]
+    rows += rows[:3]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, class int, key binary, root int").repartition(3)
+    fps = [simhash.fingerprint(t) for _, t, *_ in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(fps):
+        for j, b in enumerate(fps[:i]):
+            if (a ^ b).bit_count() <= 3:
+                root[find(i)] = find(j)
+    least = {}
+    for i, (n, t, place, *_) in enumerate(rows):
+        # A NULL text is smaller than the empty one, as in Spark.
+        order = (n is None, n or 0, t is not None, t or "", place)
+        least[find(i)] = min(least.get(find(i), order), order)
+    kept = [(r.doc_id is None, r.doc_id or 0, r.text is not None, r.text or "", r["class"]) for r in simhash.keep_one(docs).collect()]
+    assert sorted(kept) == sorted(least.values()) and len(kept) < len(rows) - 15
