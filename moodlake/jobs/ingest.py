@@ -28,7 +28,7 @@ def main(argv: list[str] | None = None) -> dict[str, int]:
 
     spark = build_session("moodlake-ingest")
     rows = read_csv(
-        spark, args.csv, multi_line=False if args.single_line else None, max_records=args.max_records,
+        spark, args.csv, multi_line=not args.single_line, max_records=args.max_records,
         encoding=args.encoding,
     )
     counts = Observation("ingest")

@@ -188,3 +188,37 @@ def _(spark, sf_dir):
     folder = scratch_dir(spark, "csv")
     _write_csv(_turns(spark, sf_dir), folder, "UTF-8")
     return normalise(read_csv(spark, folder)).select("id", "tweet_text")
+
+
+_FIRST = 700
+
+
+@query(
+    "csv_first_rows",
+    f"""WITH {POSTS_SQL} SELECT id, concat(tweet_text, chr(10), source) AS tweet_text FROM posts
+      ORDER BY CAST(id AS BIGINT) LIMIT {_FIRST}""",
+)
+def _(spark, sf_dir):
+    """The first input rows, blank ones included, of files whose fields hold newlines: a cap that ends inside a later file."""
+    folder = scratch_dir(spark, "csv")
+    rows = posts(spark, sf_dir).select(
+        "id", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+        F.concat("tweet_text", F.lit("\n"), "source").alias("tweet_text"), F.col("id").cast("long").alias("place"),
+    )
+    # The files' names are in the order of ids; the first one holds part of the wanted rows.
+    early = rows.filter(F.col("place") < _FIRST // 2).coalesce(1).sortWithinPartitions("place")
+    _write_csv(early.drop("place"), f"{folder}/1", "UTF-8")
+    _write_csv(rows.filter(F.col("place") >= _FIRST // 2).coalesce(1).sortWithinPartitions("place").drop("place"), f"{folder}/2", "UTF-8")
+    return read_csv(spark, [f"{folder}/1", f"{folder}/2"], max_records=_FIRST).select("id", "tweet_text")
+
+
+@query("csv_documents", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, source, text FROM documents")
+def _(spark, sf_dir):
+    """Whole documents, newlines and all, in files of three column orders."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "lang", "source", "text")
+    folder = scratch_dir(spark, "csv")
+    orders = (("doc_id", "lang", "source", "text"), ("text", "doc_id", "source", "lang"), ("lang", "text", "source", "doc_id"))
+    for k, order in enumerate(orders):
+        part = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(3)) == k)
+        _write_csv(part.select(*order), f"{folder}/{k}", "UTF-8")
+    return read_csv(spark, [f"{folder}/{k}" for k in range(3)]).select("doc_id", "lang", "source", "text")

@@ -1,12 +1,14 @@
 import os
+import random
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import Observation, functions as F
 
 from moodlake.operators.ingest import messages, normalise, observe_counts, reject_counts, tag_rejects, validate
 from moodlake.operators.posts import clean_posts, decode_posts, stored_shape
-from moodlake.sources import broker
-from moodlake.sources.csv_files import inspect_files, read_csv, stream_csv
+from moodlake.sources import broker, csv_files
+from moodlake.sources.csv_files import CSV_OPTIONS, inspect_blocks, inspect_files, read_csv, stream_csv
 
 HEADER = b"id,timestamp,tweet_text\n"
 
@@ -38,7 +40,7 @@ def test_inspect(spark, mixed_folder):
     assert all(flags.values()) and "empty.csv" not in flags
     spanning = {os.path.basename(r.file) for r in inspect_files(spark, mixed_folder).collect() if r.multi_line}
     assert spanning == {"newline.csv"}
-    plan = inspect_files(spark, mixed_folder)._jdf.queryExecution().executedPlan().toString()
+    plan = inspect_blocks(spark, mixed_folder)._jdf.queryExecution().executedPlan().toString()
     assert "ObjectHashAggregate" in plan and "Sort" not in plan
 
 
@@ -79,16 +81,95 @@ def test_record_cap_counts_rejected_rows(spark, folder):
     assert read_csv(spark, folder, partitions=3).rdd.getNumPartitions() == 3
 
 
+@contextmanager
+def ranges_of(spark, size):
+    """Files are read in byte ranges of this size."""
+    settings = {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": "1"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
 def test_split_scan_without_newlines(spark, folder):
     put(folder, "a.csv", HEADER + b"".join(b"%d,x,text %d\n" % (i, i) for i in range(2000)))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
-    try:
+    with ranges_of(spark, 4096):
         for rows in (read_csv(spark, folder), read_csv(spark, folder, multi_line=False)):
             assert rows.rdd.getNumPartitions() > 4
             assert rows.select("id").distinct().count() == 2000
-        assert read_csv(spark, folder, multi_line=True).rdd.getNumPartitions() == 1
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def spanning_file(seed, n, newline="\n"):
+    """Rows with newlines, quotes, commas, blank lines and nothing in fields, and a header line that comes again as data."""
+    rng = random.Random(seed)
+    parts = ["a", "\n", '""', ",", " ", "é", "\n\n", "long text " * 3, '""\n""', "id,timestamp,tweet_text"]
+    rows = ["id,timestamp,tweet_text"]
+    for i in range(n):
+        body = "".join(rng.choice(parts) for _ in range(rng.randint(0, 9)))
+        rows.append(f'{i},"t\n{i}","{body}"' if rng.random() < 0.8 else f"{i},t,plain")
+        if rng.random() < 0.1:
+            rows.append("")
+    return (newline.join(rows) + newline).encode()
+
+
+@pytest.mark.parametrize("size", [64, 700, 5000, 1 << 20])
+def test_one_file_with_newlines_in_fields_is_many_tasks(spark, folder, size):
+    put(folder, "a.csv", spanning_file(size, 60 if size < 1000 else 400))
+    put(folder, "b.csv", spanning_file(size + 1, 3))
+    put(folder, "c.csv", HEADER + b'1,x,"' + b"one field larger than ranges\n" * 60 + b'"\n2,x,after\n')
+    put(folder, "open.csv", HEADER + b'open,x,"never\nclosed\n')
+    plain = spark.read.options(**CSV_OPTIONS, multiLine="true").csv(folder)
+    want = sorted(map(tuple, plain.select("id", "timestamp", "tweet_text").collect()), key=str)
+    with ranges_of(spark, size):
+        rows = read_csv(spark, folder).select("id", "timestamp", "tweet_text")
+        got = sorted(map(tuple, rows.collect()), key=str)
+        tasks = rows.rdd.getNumPartitions()
+    assert [r for r in got if r[0] != "open"] == [r for r in want if r[0] != "open"]
+    assert [r[2].strip() for r in got if r[0] == "open"] == ["never\nclosed"]
+    assert tasks > 3 if size < 5000 else tasks > 0
+
+
+def test_ranges_too_many_to_send_are_shuffled(spark, folder, monkeypatch):
+    put(folder, "a.csv", spanning_file(3, 300))
+    put(folder, "b.csv", HEADER + b"x1,x,caf\xe9\n")
+    want = sorted(map(tuple, read_csv(spark, folder).collect()), key=str)
+    monkeypatch.setattr(csv_files, "MOST_SENT", 0)
+    with ranges_of(spark, 500):
+        assert sorted(map(tuple, read_csv(spark, folder).collect()), key=str) == want
+
+
+def test_first_records_in_file_order(spark, folder):
+    for k, name in enumerate(["a.csv", "b.csv", "c.csv"]):
+        put(folder, name, HEADER + b"".join(b'%d,x,"two\nlines"\n' % (100 * k + i) for i in range(60)))
+    order = [100 * k + i for k in range(3) for i in range(60)]
+    with ranges_of(spark, 300):
+        for n in (0, 61, 130, 999):
+            rows = read_csv(spark, folder, max_records=n)
+            assert sorted(int(r.id) for r in rows.collect()) == order[:n], n
+        plan = read_csv(spark, folder, max_records=130)._jdf.queryExecution().executedPlan().toString()
+    assert [line for line in plan.splitlines() if "SinglePartition" in line or "GlobalLimit" in line] == []
+
+
+def test_windows_line_ends(spark, folder):
+    put(folder, "a.csv", spanning_file(5, 40, "\r\n"))
+    rows = {r.id: r.tweet_text for r in read_csv(spark, folder).collect()}
+    assert len(rows) == 40 and all(not (t or "").endswith("\r") for t in rows.values())
+
+
+def test_headers_and_encodings_are_data(spark, folder):
+    """Many layouts, one scan: the plan does not grow with them."""
+    for i in range(12):
+        names = ["id", "timestamp", "tweet_text", f"own{i % 3}"]
+        names = names[i % 4:] + names[:i % 4]
+        values = {"id": str(i), "timestamp": "t", "tweet_text": "café", f"own{i % 3}": f"o{i}"}
+        text = ",".join(names) + "\n" + ",".join(values[n] for n in names) + "\n"
+        put(folder, f"{i:02}.csv", text.encode("latin-1" if i % 2 else "utf-8"))
+    rows = read_csv(spark, folder)
+    assert rows._jdf.queryExecution().executedPlan().toString().count("Scan text") == 1
+    assert {r.id: (r.tweet_text, r[f"own{int(r.id) % 3}"]) for r in rows.collect()} == {str(i): ("café", f"o{i}") for i in range(12)}
 
 
 def test_known_encoding_needs_one_scan(spark, folder):
