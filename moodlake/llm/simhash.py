@@ -203,7 +203,8 @@ def keep_one(
     several = join_hot(placed, scratch_table(sizes, "sizes"), "root", "texts").filter("total IS NOT NULL")
     lookup = scratch_table(several.select("key", "rows", F.col("root").alias("class")), "text_classes")
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key"))
-    joined = join_hot(packed, lookup, "key", "rows")
+    # Texts are not sorted for it, and move alike at every size.
+    joined = join_hot(packed, lookup, "key", "rows", hint="shuffle_hash")
     single = joined.filter("class IS NULL").select("row.*")
     company = joined.filter("class IS NOT NULL").select("class", "row")
     return single.unionByName(smallest(company, docs.columns, id_col, text))
