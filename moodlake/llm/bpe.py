@@ -38,7 +38,10 @@ LONG_PIECE = 256
 # Pieces a worker remembers; beyond this it starts afresh. About 150 bytes each.
 CACHED_PIECES = 400_000
 # Pieces handled at once, unless one text has more.
-STEP = 400_000
+STEP = 200_000
+# The recursive query keeps every state of a piece: at most as many token positions as half the square of its bytes. So many
+# (or one piece) go into one query, which bounds its memory; DuckDB needs no folder to spill to.
+POSITIONS = 1 << 21
 
 ENCODE_SQL = """
 WITH RECURSIVE state(w, toks) AS (
@@ -93,15 +96,15 @@ class Codec:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.pattern = regex.compile(pattern)
         self.bytes = np.array([self.ranks[bytes([i])] for i in range(256)], np.int64)
+        self.token = dict(zip(self.ranks.values(), self.ranks))
         # Two tokens merge if their bytes together are a token; its rank is the pair's rank.
-        self.pairs = {
-            (left, right): rank
+        merges = np.array([
+            ((left << 20) | right, rank)
             for token, rank in self.ranks.items() for i in range(1, len(token))
             if (left := self.ranks.get(token[:i])) is not None and (right := self.ranks.get(token[i:])) is not None
-        }
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
-        ab = np.array([(a << 20) | b for a, b in self.pairs], np.int64)
-        self.con.register("m", pa.table({"ab": ab, "r": np.array(list(self.pairs.values()), np.int64)}))
+        ], np.int64).reshape(-1, 2)
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.con.register("m", pa.table({"ab": merges[:, 0], "r": merges[:, 1]}))
         self.con.execute("CREATE TABLE merges AS SELECT * FROM m")
         self.con.register("v", pa.table({"tok": list(self.ranks.values()), "hex": [t.hex() for t in self.ranks]}))
         self.con.execute("CREATE TABLE vocabulary AS SELECT * FROM v")
@@ -123,11 +126,15 @@ class Codec:
         self.con.unregister("pieces")
         return result
 
+    def pair(self, left: int, right: int) -> int | None:
+        """The rank of two tokens that merge."""
+        return self.ranks.get(self.token[left] + self.token[right])
+
     def contract(self, piece: bytes) -> list[int]:
         """Contract one long piece: the same rule with a heap instead of passes."""
         toks = self.bytes[np.frombuffer(piece, np.uint8)].tolist()
         after, before = list(range(1, len(toks) + 1)), list(range(-1, len(toks) - 1))
-        heap = [(r, i, toks[i], toks[i + 1]) for i in range(len(toks) - 1) if (r := self.pairs.get((toks[i], toks[i + 1]))) is not None]
+        heap = [(r, i, toks[i], toks[i + 1]) for i in range(len(toks) - 1) if (r := self.pair(toks[i], toks[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
             rank, i, left, right = heapq.heappop(heap)
@@ -139,7 +146,7 @@ class Codec:
             if after[i] < len(toks):
                 before[after[i]] = i
             for a, b in ((before[i], i), (i, after[i])):
-                if a >= 0 and b < len(toks) and (r := self.pairs.get((toks[a], toks[b]))) is not None:
+                if a >= 0 and b < len(toks) and (r := self.pair(toks[a], toks[b])) is not None:
                     heapq.heappush(heap, (r, a, toks[a], toks[b]))
         return [t for t in toks if t >= 0]
 
@@ -154,11 +161,14 @@ class Codec:
             raw = [w.encode() for w in new]
             short = [i for i, b in enumerate(raw) if len(b) <= LONG_PIECE]
             found: list[np.ndarray] = [np.empty(0, np.int64)] * len(new)
-            if short:
-                toks = self._ask(ENCODE_SQL, [self.bytes[np.frombuffer(raw[i], np.uint8)] for i in short])
+            upto = np.cumsum([len(raw[i]) ** 2 // 2 for i in short])
+            for some in np.split(np.array(short, np.int64), np.flatnonzero(np.diff(upto // POSITIONS)) + 1):
+                if not len(some):
+                    continue
+                toks = self._ask(ENCODE_SQL, [self.bytes[np.frombuffer(raw[i], np.uint8)] for i in some])
                 lists = toks["toks"].combine_chunks()
                 flat, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-                for k, i in enumerate(short):
+                for k, i in enumerate(some):
                     found[i] = flat[ends[k]:ends[k + 1]]
             for i, b in enumerate(raw):
                 if len(b) > LONG_PIECE:
@@ -226,24 +236,26 @@ def _encoded(c: Codec, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, n
     return ids, sizes, ends - ends[0]
 
 
-def _pieces(docs: DataFrame, pattern: str, text: str) -> DataFrame:
-    """Split texts in the JVM. Characters newer than the JVM's tables go to the workers' own splitter."""
-    body = F.coalesce(F.col(text), F.lit(""))
+def _pieces(docs: DataFrame, pattern: str, text: str, keep: list[str]) -> DataFrame:
+    """The kept columns as one struct ``_row``, and texts split in the JVM. Characters newer than the JVM's tables go to the
+    workers' own splitter."""
+    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     odd = body.rlike(r"\p{Cn}")
     found = F.regexp_extract_all(body, F.lit("(?U)" + pattern), F.lit(0))
+    row = F.struct(*[F.col(f"`{c}`") for c in keep], *[] if keep else [F.lit(0).alias("none")])
     return docs.select(
-        "*", F.when(odd, F.array().cast("array<string>")).otherwise(found).alias("_pieces"), F.when(odd, body).alias("_odd")
+        row.alias("_row"), F.when(odd, F.array().cast("array<string>")).otherwise(found).alias("_pieces"), F.when(odd, body).alias("_odd")
     )
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
-    """Add ``ids`` and ``piece_sizes`` (number of ids of each piece of the pattern)."""
-    split = _pieces(docs, pattern, text)
+    """Add ``ids`` and ``piece_sizes`` (number of ids of each piece of the pattern); input columns of these names give way."""
     schema = T.StructType([
         *[f for f in docs.schema.fields if f.name not in ("ids", "piece_sizes")],
         T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("piece_sizes", T.ArrayType(T.IntegerType())),
     ])
     keep = [f.name for f in schema.fields[:-2]]
+    split = _pieces(docs, pattern, text, keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
@@ -253,7 +265,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
                 at = _by_row(sizes, ends).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(at), pa.array(ids.astype(np.int32)))
                 counts = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(sizes.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([part.column(k) for k in keep] + [lists, counts], names=[*keep, "ids", "piece_sizes"])
+                yield pa.RecordBatch.from_arrays(part.column("_row").flatten()[:len(keep)] + [lists, counts], names=[*keep, "ids", "piece_sizes"])
 
     return split.mapInArrow(run, schema)
 
@@ -279,9 +291,10 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", sizes:
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
-    """Encode and decode in one pass; the text gives way to ``n_tokens``, ``ids_sha256`` and ``decoded_sha256``."""
-    split = _pieces(docs, pattern, text).drop(text)
-    keep = [c for c in docs.columns if c != text]
+    """Encode and decode in one pass; the text, and input columns of these names, give way to ``n_tokens``, ``ids_sha256`` and
+    ``decoded_sha256``."""
+    keep = [c for c in docs.columns if c not in (text, "n_tokens", "ids_sha256", "decoded_sha256")]
+    split = _pieces(docs, pattern, text, keep)
     schema = T.StructType([
         *[docs.schema[c] for c in keep], T.StructField("n_tokens", T.LongType()),
         T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType()),
@@ -299,7 +312,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text") ->
                     pa.array(_digests(ids.astype("<u4"), at)),
                     pa.array(_digests(text_bytes, spots)),
                 ]
-                yield pa.RecordBatch.from_arrays([part.column(k) for k in keep] + columns, names=[f.name for f in schema.fields])
+                yield pa.RecordBatch.from_arrays(part.column("_row").flatten()[:len(keep)] + columns, names=[f.name for f in schema.fields])
 
     return split.mapInArrow(run, schema)
 

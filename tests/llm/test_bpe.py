@@ -62,3 +62,16 @@ def test_rows_beyond_one_step(spark, library, monkeypatch):
     assert {r.doc_id: r.n_tokens for r in bpe.round_trip(frame, PATH, P.PATTERN).collect()} == {
         i: len(library.encode_ordinary(f"some words {i} and more " * (i % 7))) for i in range(300)
     }
+
+
+def test_columns_with_names_of_its_own(spark):
+    docs = spark.createDataFrame([(1, "one two", 5, "x", [1], 2)], "doc_id long, text string, n_tokens int, _pieces string, _odd array<int>, _row int")
+    place, pattern = P.path("byte_bpe_50k.tiktoken"), P.PATTERN
+    out = bpe.round_trip(docs, place, pattern)
+    assert out.columns == ["doc_id", "_pieces", "_odd", "_row", "n_tokens", "ids_sha256", "decoded_sha256"]
+    (row,) = out.collect()
+    assert (row.doc_id, row._pieces, row._odd, row._row, row.n_tokens) == (1, "x", [1], 2, 2)
+    (row,) = bpe.decode(bpe.encode(docs, place, pattern), place, pattern).collect()
+    assert (row.text, row.n_tokens, bytes(row.decoded)) == ("one two", 5, b"one two")
+    (row,) = bpe.round_trip(docs.select("text"), place, pattern).collect()
+    assert row.n_tokens == 2
