@@ -27,6 +27,8 @@ from moodlake.llm.common import scratch_table
 
 SCOPE = 200
 MASK = "[SECRET]"
+# Code points that a masked text is cut into.
+PIECE = 1024
 
 
 @dataclass(frozen=True)
@@ -62,12 +64,14 @@ def scan(docs: DataFrame, text: str = "text", keep_text: bool = True) -> DataFra
     body = F.coalesce(F.col(text), F.lit(""))
 
     def matches(kind: Kind) -> Column:
-        gaps = F.transform(F.split(body, kind.pattern, -1), lambda g: F.length(g).cast("long"))
+        # Each array is made once and they are walked together: work grows with the text, not with text times matches.
         found = F.regexp_extract_all(body, F.lit(kind.pattern), F.lit(0))
         second = F.regexp_extract_all(body, F.lit(kind.pattern), F.lit(2)) if kind.name == "assign" else found
-        rows = F.transform(found, lambda m, i: F.struct(
-            F.get(gaps, i).alias("gap"), F.length(m).cast("long").alias("length"),
-            (F.length(F.get(second, i)) >= LEAST_ASSIGNED if kind.name == "assign" else F.lit(True)).alias("valid"),
+        both = F.arrays_zip(F.split(body, kind.pattern, -1).alias("gap"), found.alias("match"), second.alias("second"))
+        # The piece after the last match has no match beside it.
+        rows = F.transform(F.filter(both, lambda m: m["match"].isNotNull()), lambda m: F.struct(
+            F.length(m["gap"]).cast("long").alias("gap"), F.length(m["match"]).cast("long").alias("length"),
+            (F.length(m["second"]) >= LEAST_ASSIGNED if kind.name == "assign" else F.lit(True)).alias("valid"),
         ))
         return F.when(body.rlike(kind.pattern), rows).alias(kind.name)
 
@@ -116,13 +120,16 @@ def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
 
 
 def find(docs: DataFrame, text: str = "text", keep_text: bool = True, scope: int = SCOPE) -> DataFrame:
-    """``row`` (the columns of ``docs``) and ``spans``: sorted array of struct(start, place, end, kind, strong)."""
+    """``row`` (the columns of ``docs``) and ``spans``: sorted array of struct(start, place, end, kind, strong, reach), where
+    ``reach`` is how far the spans before it reach."""
     scanned = scan(docs, text, keep_text)
     found = scratch_table(parts(scanned.select("rid", "found")), "secret_parts")
-    spans = linked(found, scope).groupBy("rid").agg(
-        F.sort_array(F.collect_list(F.struct("start", "place", "end", "kind", "strong"))).alias("spans")
+    earlier = Window.partitionBy("rid").orderBy("start", "place", "end").rowsBetween(Window.unboundedPreceding, -1)
+    reached = linked(found, scope).withColumn("reach", F.coalesce(F.max("end").over(earlier), F.lit(0).cast("long")))
+    spans = reached.groupBy("rid").agg(
+        F.sort_array(F.collect_list(F.struct("start", "place", "end", "kind", "strong", "reach"))).alias("spans")
     )
-    empty = F.array().cast("array<struct<start:bigint,place:int,end:bigint,kind:string,strong:boolean>>")
+    empty = F.array().cast("array<struct<start:bigint,place:int,end:bigint,kind:string,strong:boolean,reach:bigint>>")
     return scanned.select("rid", "row").join(spans, "rid", "left").select("row", F.coalesce("spans", empty).alias("spans"))
 
 
@@ -139,20 +146,20 @@ def redact(docs: DataFrame, text: str = "text", mask: str = MASK) -> DataFrame:
     """The documents with every span in the text replaced by ``mask``; overlapping spans by one."""
     found = find(docs, text)
     body = F.col(f"row.{text}")
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        # Spans are sorted by start: one that begins before ``at`` only extends the mask before it.
-        fresh = s["start"] >= acc["at"]
-        gap = F.substring(body, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(fresh, F.concat(acc["out"], F.array(gap, F.lit(mask)))).otherwise(acc["out"]).alias("out"),
-        )
-
-    def finish(acc: Column) -> Column:
-        rest = F.substring(body, (acc["at"] + 1).cast("int"), F.length(body))
-        return F.concat(F.array_join(acc["out"], ""), rest)
-
-    clean = F.when(F.size("spans") == 0, body).otherwise(F.aggregate("spans", start, step, finish))
+    # Pieces of fixed length make it cheap to reach any place of a long text.
+    pieces = F.regexp_extract_all(body, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+    def between(held: Column, first: Column, last: Column) -> Column:
+        """Characters from ``first`` up to ``last``, both from 0."""
+        at = F.floor(first / PIECE).cast("int")
+        wanted = F.slice(held, at + 1, F.greatest(F.floor((last - 1) / PIECE).cast("int") - at + 1, F.lit(0)))
+        return F.substring(F.array_join(wanted, ""), (first - at * PIECE + 1).cast("int"), (last - first).cast("int"))
+
+    # A span that begins before the reach of others only extends the mask before it.
+    fresh = F.filter("spans", lambda s: s["start"] >= s["reach"])
+    masked = F.transform(fresh, lambda s: F.concat(between(F.col("_pieces"), s["reach"], s["start"]), F.lit(mask)))
+    end = F.array_max(F.transform("spans", lambda s: s["end"]))
+    rest = between(F.col("_pieces"), end, F.length(body).cast("long"))
+    clean = F.when(F.size("spans") == 0, body).otherwise(F.concat(F.array_join(masked, ""), rest))
+    found = found.withColumn("_pieces", F.when(F.size("spans") > 0, pieces))
     return found.select(*[(clean if c == text else F.col(f"row.{c}")).alias(c) for c in docs.columns])
