@@ -37,6 +37,8 @@ LEAST_BYTES = 0
 FRAME_BYTES = 256 * 1024
 BUNDLE_BYTES = 256 * 1024 * 1024
 LEVEL = 3
+# Bytes of records that one task reads back: those of a run of 64 frames.
+READ_BYTES = 64 * FRAME_BYTES
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 # The public Zstandard seekable format.
@@ -222,5 +224,7 @@ def read(index: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
     # Neighbouring frames of a bundle go to one task, so that a frame is decompressed once.
-    dealt = index.withColumn("run", F.expr("frame div 64")).repartition("path", "run").sortWithinPartitions("path", "frame", "place")
+    # The index is tiny beside what is read, so the number of tasks follows the records' bytes and is not left to adaptive merging.
+    tasks = -(-(index.agg(F.sum("length")).first()[0] or 0) // READ_BYTES) or 1
+    dealt = index.withColumn("run", F.expr("frame div 64")).repartition(tasks, "path", "run").sortWithinPartitions("path", "frame", "place")
     return dealt.drop("run").mapInArrow(run, READ)

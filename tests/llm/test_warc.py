@@ -78,3 +78,11 @@ def test_damaged_payload_is_refused():
             warc.parse(wrong)
     revisit = warc.parse(warc.record(2, None, b"payload one", "urn:page:1"))
     assert (revisit["payload"], revisit["payload_bytes"]) == (b"", 11)
+
+
+def test_reading_back_is_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(warc, "READ_BYTES", 30_000)
+    monkeypatch.setattr(warc, "FRAME_BYTES", 1000)
+    index = warc.write(spark.read.parquet(f"{SMALL}/pages.parquet"))
+    total = sum(r.length for r in index.collect())
+    assert warc.read(index).rdd.getNumPartitions() == -(-total // 30_000) > 3
