@@ -12,10 +12,11 @@ it is tried again; a batch whose id is among the commits does nothing, and
 what an interrupted one left behind is not read.
 
 Defined results: NULL and empty texts have no tokens; NULL sources and
-languages are groups of their own; rows repeated within a batch for one
-document and version count once (the largest by operation, source, language
-and count); deleting what is not there changes nothing; inserting what is
-there revises it; a NULL id is one document.
+languages are groups of their own. An id stands for all rows a batch has for it
+under a version: repeated ids, and the rows without an id, each count with every
+row, and a later batch replaces or deletes them together (deletes beside other
+rows of their id have no effect). Deleting what is not there changes nothing;
+inserting what is there revises it.
 """
 
 from __future__ import annotations
@@ -26,12 +27,12 @@ from collections.abc import Iterator
 import pyarrow as pa
 import tiktoken
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodlake.llm.common import per_worker, scratch_table
 
-LEDGER = "id bigint, version string, source string, lang string, n_tokens bigint, live boolean"
+LEDGER = "id bigint, version string, source string, lang string, n_docs bigint, n_tokens bigint, live boolean, batch string"
 DELTAS = "source string, lang string, version string, n_docs bigint, n_tokens bigint"
 COMMITS = "batch string, place bigint"
 
@@ -74,17 +75,19 @@ def commits(spark: SparkSession, root: str) -> dict[str, int]:
 
 
 def current(spark: SparkSession, root: str) -> DataFrame:
-    """The live rows of the ledger: the last one set for each document and version."""
-    rows = None
-    for batch, place in commits(spark, root).items():
-        one = spark.read.schema(LEDGER).parquet(f"{root}/ledger/{batch}").withColumn("place", F.lit(place))
-        rows = one if rows is None else rows.unionByName(one)
-    if rows is None:
+    """The live rows of the ledger: those that the last batch set for each id and version. One scan, however many batches."""
+    done = commits(spark, root)
+    if not done:
         return spark.createDataFrame([], LEDGER)
-    last = rows.groupBy("id", "version").agg(
-        F.max(F.struct("place", "live", "source", "lang", "n_tokens")).alias("row")
-    )
-    return last.filter("row.live").select("id", "version", "row.source", "row.lang", "row.n_tokens", "row.live")
+    rows = spark.read.schema(LEDGER).parquet(*[f"{root}/ledger/{batch}" for batch in done])
+    rows = rows.join(F.broadcast(spark.createDataFrame(list(done.items()), COMMITS)), "batch")
+    last = rows.groupBy("id", "version").agg(F.max("place").alias("place")).alias("l")
+    rows = rows.alias("r").join(last, _same("r", "l") & (F.col("r.place") == F.col("l.place")), "left_semi")
+    return rows.filter("live").select("id", "version", "source", "lang", "n_docs", "n_tokens", "live", "batch")
+
+
+def _same(a: str, b: str) -> Column:
+    return F.col(f"{a}.id").eqNullSafe(F.col(f"{b}.id")) & F.col(f"{a}.version").eqNullSafe(F.col(f"{b}.version"))
 
 
 def commit(spark: SparkSession, root: str, batch: str, changes: DataFrame) -> bool:
@@ -95,20 +98,20 @@ def commit(spark: SparkSession, root: str, batch: str, changes: DataFrame) -> bo
     done = commits(spark, root)
     if batch in done:
         return False
-    new = changes.groupBy("id", "version").agg(F.max(F.struct("op", "source", "lang", "n_tokens")).alias("row")).select(
-        "id", "version", F.col("row.source").alias("source"), F.col("row.lang").alias("lang"),
-        F.coalesce(F.col("row.n_tokens"), F.lit(0)).cast("long").alias("n_tokens"), (F.col("row.op") != "delete").alias("live"),
-    )
+    sets = changes.filter("op <> 'delete'").groupBy("id", "version", "source", "lang").agg(
+        F.count(F.lit(1)).alias("n_docs"), F.coalesce(F.sum("n_tokens"), F.lit(0)).cast("long").alias("n_tokens")
+    ).withColumn("live", F.lit(True))
+    gone = changes.filter("op = 'delete'").select("id", "version").distinct().alias("d")
+    gone = gone.join(changes.filter("op <> 'delete'").select("id", "version").distinct().alias("s"), _same("d", "s"), "left_anti")
+    gone = gone.selectExpr("id", "version", "NULL AS source", "NULL AS lang", "0L AS n_docs", "0L AS n_tokens", "false AS live")
+    new = sets.unionByName(gone).withColumn("batch", F.lit(batch))
     new.write.mode("overwrite").parquet(f"{root}/ledger/{batch}")
     new = spark.read.schema(LEDGER).parquet(f"{root}/ledger/{batch}")
     old = current(spark, root).alias("o")
-    touched = old.join(
-        new.select("id", "version").alias("n"),
-        F.col("o.id").eqNullSafe(F.col("n.id")) & F.col("o.version").eqNullSafe(F.col("n.version")), "left_semi",
-    )
+    touched = old.join(new.select("id", "version").distinct().alias("n"), _same("o", "n"), "left_semi")
     signed = new.filter("live").withColumn("sign", F.lit(1)).unionByName(touched.withColumn("sign", F.lit(-1)))
     delta = signed.groupBy("source", "lang", "version").agg(
-        F.sum("sign").cast("long").alias("n_docs"), F.sum(F.col("sign") * F.col("n_tokens")).cast("long").alias("n_tokens")
+        F.sum(F.col("sign") * F.col("n_docs")).cast("long").alias("n_docs"), F.sum(F.col("sign") * F.col("n_tokens")).cast("long").alias("n_tokens")
     )
     delta.write.mode("overwrite").parquet(f"{root}/deltas/{batch}")
     marker = spark.createDataFrame([(batch, len(done))], COMMITS)

@@ -51,7 +51,7 @@ def test_signed_batches_are_idempotent(spark, folder, changes):
     )
     for _ in range(3):
         rollup.commit(spark, folder, "b2", second)
-    assert sums(spark, folder) == {("a", "en", "v"): (1, 12), ("c", "de", "v"): (1, 8), ("a", "en", "w"): (1, 2)}
+    assert sums(spark, folder) == {("a", "en", "v"): (1, 12), ("c", "de", "v"): (1, 8), ("a", "en", "w"): (2, 4)}
     assert rollup.commit(spark, folder, "b3", changes(("insert", 2, "v", "a", "en", 5)))
     assert sums(spark, folder)["a", "en", "v"] == (2, 17)
     assert rollup.current(spark, folder).count() == 4
@@ -72,6 +72,16 @@ def test_edges(spark, folder, edge_docs, no_docs):
     rows = rollup.counted(edge_docs, "v", path, P.PATTERN)
     assert rows.count() == edge_docs.count()
     rollup.commit(spark, folder, "all", rows)
-    assert sum(n for n, _ in sums(spark, folder).values()) == edge_docs.select("doc_id").distinct().count()
+    assert sum(n for n, _ in sums(spark, folder).values()) == edge_docs.count()
     rollup.commit(spark, folder, "none", rows.filter("false"))
     assert len(rollup.commits(spark, folder)) == 2
+
+
+def test_repeated_and_missing_ids_count_with_every_row(spark, folder, changes):
+    first = [("insert", None, "v", "a", "en", 3), ("insert", None, "v", "b", "en", 4), ("insert", 1, "v", "a", "en", 5), ("insert", 1, "v", "a", "en", 5)]
+    rollup.commit(spark, folder, "b1", changes(*first))
+    assert sums(spark, folder) == {("a", "en", "v"): (3, 13), ("b", "en", "v"): (1, 4)}
+    rollup.commit(spark, folder, "b2", changes(("revise", 1, "v", "c", "en", 9), ("delete", 1, "v", None, None, None), ("delete", None, "v", None, None, None)))
+    assert sums(spark, folder) == {("c", "en", "v"): (1, 9)}
+    rollup.commit(spark, folder, "b3", changes(*first))
+    assert sums(spark, folder) == {("a", "en", "v"): (3, 13), ("b", "en", "v"): (1, 4)}
