@@ -17,8 +17,9 @@ for it. Sources (not documents) pass through one task when weights are dealt.
 
 Defined results: NULL and empty texts have size 0 and are never taken; a NULL
 source is a source of its own, last in order; rows repeated with the same id
-and size have the same rank and are taken together; other columns pass through;
-an empty table gives an empty result.
+and size have the same rank and are taken together; rows without an id have
+ranks of their own, by their place in the input, which reruns over the same
+files share; other columns pass through; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -93,12 +94,12 @@ def _plan(sized: DataFrame, weights: tuple[float, ...], share: float, cap: float
     )
 
 
-def _rank(row_id: Column, size: Column, seed: int) -> tuple[Column, Column]:
-    """Pareto rank mapped to 0..1 (NULL without a chance), and what settles equal ranks."""
-    draw = F.xxhash64(F.lit(seed), row_id, size)
+def _rank(row_id: Column, size: Column, place: Column, seed: int) -> tuple[Column, Column]:
+    """Pareto rank mapped to 0..1 (NULL without a chance), and what settles equal ranks. NULLs do not enter the hash."""
+    draw = F.xxhash64(F.lit(seed), row_id, size, place)
     u = (F.pmod(draw, F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
     odds = (u / (1 - u)) * (1 - F.col("chance")) / F.col("chance")
-    return F.when(F.col("chance") > 0, odds / (1 + odds)), F.xxhash64(F.lit(seed + 1), row_id, size)
+    return F.when(F.col("chance") > 0, odds / (1 + odds)), F.xxhash64(F.lit(seed + 1), row_id, size, place)
 
 
 def mix(
@@ -125,10 +126,12 @@ def mix_sized(
     packed: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, seed: int = SEED,
 ) -> DataFrame:
     """Mix rows packed by ``sized``."""
-    rows = scratch_table(packed.withColumn("stratum", F.concat_ws(":", "class", "key")), "sized")
-    lean = rows.select("id", "size", "key", "stratum")
+    # Rows without an id are told apart by their place, which is written with them.
+    place = F.when(F.col("id").isNull(), F.monotonically_increasing_id())
+    rows = scratch_table(packed.withColumn("stratum", F.concat_ws(":", "class", "key")).withColumn("place", place), "sized")
+    lean = rows.select("id", "size", "place", "key", "stratum")
     plan = scratch_table(_plan(rows.select("key", "class", "size"), weights, share, cap), "mix_plan")
-    rank, tie = _rank(F.col("id"), F.col("size"), seed)
+    rank, tie = _rank(F.col("id"), F.col("size"), F.col("place"), seed)
     lookup = plan.drop("key")
     drawn = join_hot(lean, lookup, "stratum", "n").withColumn("rank", rank).filter("rank IS NOT NULL")
     drawn = drawn.withColumn("tie", tie).withColumn("buckets", F.ceil(F.sqrt("source_docs")))

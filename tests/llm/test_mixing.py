@@ -81,3 +81,14 @@ def test_edges(spark, edge_docs, no_docs):
     assert mixing.repeat(only_empty).count() == 0
     copies = out.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).collect()
     assert max(r.n for r in copies if r.doc_id != 4) <= 2
+
+
+def test_rows_without_an_id_have_ranks_of_their_own(spark):
+    """All ids NULL and sizes equal: each source still comes near its target."""
+    rows = spark.range(6000, numPartitions=4).select(
+        F.lit(None).cast("long").alias("doc_id"), F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("source"),
+        F.repeat(F.lit("w "), 20).alias("text"),
+    )
+    mixed = mixing.mix(rows).groupBy("row.source").agg(F.sum(F.col("copies") * F.col("size")).alias("taken"), F.first("target").alias("target"))
+    for r in mixed.collect():
+        assert abs(r.taken - r.target) <= 20
