@@ -166,7 +166,15 @@ def host_rates(measured: DataFrame, host: str = "source") -> DataFrame:
 
 def judge(docs: DataFrame, text: str = "text", host: str = "source", host_limit: float = HOST_LIMIT) -> DataFrame:
     """Measure and judge: adds ``_quality``, ``base_failed``, ``failed_rules``, ``host_failed_rules`` and ``kept``."""
-    return judge_measured(text_measures(docs, text), host, host_limit)
+    judged = judge_measured(text_measures(_packed(docs, text, host), "_text").drop("_text"), "_source", host_limit)
+    added = [RESERVED, *VERDICTS]
+    return judged.select(*[F.col("_row")[c].alias(c) for c in docs.columns if c not in added], *added)
+
+
+def _packed(docs: DataFrame, text: str, host: str) -> DataFrame:
+    """Text, host and the whole row as one struct, so that no column of the input can clash with one made here."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return docs.select(F.col(f"`{text}`").alias("_text"), F.col(f"`{host}`").alias("_source"), F.struct(*columns).alias("_row"))
 
 
 def judge_measured(measured: DataFrame, host: str = "source", host_limit: float = HOST_LIMIT) -> DataFrame:
@@ -200,6 +208,5 @@ def _verdicts(measured: DataFrame, host: str, host_limit: float) -> DataFrame:
 
 def keep_good(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
     """The documents that ``judge`` keeps, with their columns unchanged."""
-    packed = docs.select(F.col(text).alias("_text"), F.col(host).alias("_source"), F.struct(*docs.columns).alias("_row"))
-    judged = judge_measured(text_measures(packed, "_text").drop("_text"), "_source")
+    judged = judge_measured(text_measures(_packed(docs, text, host), "_text").drop("_text"), "_source")
     return judged.filter("kept").select("_row.*")

@@ -79,3 +79,11 @@ def test_single_document_hosts_are_not_blamed_for_their_own_failure(spark):
     large = [(3000 + i, good if i % 10 else bad, f"large{i % 4}") for i in range(400)] + [(5000 + i, bad, "worst") for i in range(30)]
     kept = {r.doc_id for r in quality.judge(spark.createDataFrame(rows + large, fields)).filter("kept").collect()}
     assert kept >= set(range(1000)) and {n for n in kept if n >= 5000} == set()
+
+
+def test_judge_keeps_columns_with_names_of_its_own(spark):
+    rows = [(i, " ".join(f"w{k}" for k in range(30 + i)), "h", 7, 8, 9, 1) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _bad int, _hot int, _host int, _n int")
+    out = quality.judge(docs)
+    assert out.columns[:7] == docs.columns
+    assert sorted(tuple(r)[:7] for r in out.collect()) == sorted(rows)
