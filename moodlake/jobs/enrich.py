@@ -36,6 +36,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--topic", default=broker.TOPIC)
     parser.add_argument("--max-offsets", type=int, help="messages per micro-batch at most")
     parser.add_argument("--min-partitions", type=int, help="split broker partitions over at least as many tasks")
+    parser.add_argument("--replays-within", help="leave out messages whose id came before within this time, e.g. '1 hour'")
     parser.add_argument("--store", required=True)
     parser.add_argument("--checkpoint", help="stream state; needed unless --batch")
     parser.add_argument("--trigger", default="10 seconds")
@@ -56,6 +57,8 @@ def main(argv: list[str] | None = None) -> None:
     for flag in ("distinct", "tasks", "call_size", "calls_at_once", "attempts", "rest_after", "rest_seconds"):
         if not args.scorer and getattr(args, flag) != parser.get_default(flag):
             parser.error(f"--{flag.replace('_', '-')} has an effect with --scorer only")
+    if args.batch and args.replays_within:
+        parser.error("--replays-within is for streams")
     if not args.batch and not args.checkpoint:
         parser.error("--checkpoint is needed for a stream")
 
@@ -75,6 +78,8 @@ def main(argv: list[str] | None = None) -> None:
         )
         if args.servers else spark.readStream.text(args.messages)
     )
+    if args.replays_within:
+        rows = enrich.without_replays(rows, args.replays_within)
     trigger = None if args.once else args.trigger
     if args.distinct:
         query = enrich.write_stream_batches(

@@ -4,11 +4,18 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from moodlake.operators import metrics, search, trend
+from moodlake.operators import search, sums, trend
 from moodlake.session import build_session
-from moodlake.sources.store import read_enriched
+from moodlake.sources.store import read_enriched, read_sums
+
+
+def _show(lines: DataFrame, most: int) -> None:
+    """Print at most so many lines, and how many were left out."""
+    lines.show(most, truncate=False)
+    if left := lines.offset(most).count():
+        print(f"{left} more lines not shown (--rows {most})")
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -23,17 +30,21 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--rows", type=int, default=1000, help="lines printed per report")
     args = parser.parse_args(argv)
 
-    rows = read_enriched(build_session("moodlake-report"), args.store)
-    metrics.kpi_summary(rows).show(truncate=False)
-    metrics.mix(rows).orderBy(F.desc("n")).show(args.rows, truncate=False)
-    metrics.failure_rate(rows).orderBy(F.desc("n")).show(args.rows, truncate=False)
-    trend.last_points(trend.sentiment_trend(rows, args.width), args.view).show(28, truncate=False)
+    spark = build_session("moodlake-report")
+    rows, counted = read_enriched(spark, args.store), read_sums(spark, args.store)
+    sums.kpi_summary(counted).show(truncate=False)
+    _show(sums.mix(counted).orderBy(F.desc("n")), args.rows)
+    _show(sums.failure_rate(counted).orderBy(F.desc("n")), args.rows)
+    # Sums are by the hour, so other widths need the posts themselves.
+    hourly = args.width.split()[-1].rstrip("s") in ("hour", "day", "week")
+    points = sums.sentiment_trend(counted, args.width) if hourly else trend.sentiment_trend(rows, args.width)
+    trend.last_points(points, args.view).show(28, truncate=False)
     trend.recent_feed(rows).show(truncate=False)
     if args.search:
-        search.text_search(rows, args.search).show(args.rows, truncate=False)
+        _show(search.text_search(rows, args.search), args.rows)
     if args.term:
         as_of = F.lit(args.as_of).cast("timestamp") if args.as_of else rows.agg(F.max("timestamp")).scalar()
-        search.term_mix(rows, args.term, as_of, args.hours).show(args.rows, truncate=False)
+        _show(search.term_mix(rows, args.term, as_of, args.hours), args.rows)
 
 
 if __name__ == "__main__":

@@ -7,11 +7,12 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from moodlake.operators.posts import clean_posts, decode_posts, stored_shape
 from moodlake.session import scratch_scope
+from moodlake.sources.store import store_batch
 
 Score = Callable[[DataFrame], DataFrame]
 
@@ -25,6 +26,20 @@ def enrich(broker_rows: DataFrame, score: Score, keep_error: bool = True) -> Dat
     return stored_shape(score(clean_posts(decode_posts(broker_rows))), keep_error)
 
 
+def without_replays(broker_rows: DataFrame, within: str = "1 hour") -> DataFrame:
+    """A stream of messages in which an id that comes again within this time of its arrival is left out.
+
+    A producer that retries sends messages twice. Arrival is the broker's ``timestamp``, or the time of the micro-batch
+    where there is none; ids older than ``within`` leave the state, which so holds the ids of that time only. The state
+    is kept with the checkpoint. Messages without an id are all kept.
+    """
+    arrival = F.col("timestamp") if "timestamp" in broker_rows.columns else F.current_timestamp()
+    post_id = F.get_json_object(F.col("value").cast("string"), "$.id")
+    key = F.coalesce(F.concat(F.lit("i"), post_id), F.concat(F.lit("r"), F.expr("uuid()")))
+    keyed = broker_rows.withColumns({"_key": key, "_arrival": arrival}).withWatermark("_arrival", within)
+    return keyed.dropDuplicatesWithinWatermark(["_key"]).drop("_key", "_arrival")
+
+
 def writer_id(spark: SparkSession, checkpoint: str) -> str:
     """A name kept with the checkpoint: restarts find it again, a new checkpoint gets a later one in alphabetical order."""
     path = f"{checkpoint.rstrip('/')}/writer"
@@ -73,18 +88,17 @@ def write_stream_batches(
     """Like ``write_stream`` with batch-only steps, such as scoring each distinct
     text of a micro-batch once.
 
-    Each micro-batch owns a folder named by the checkpoint's id and its number
-    and replaces it when it is repeated after a failure: no row is stored
-    twice, and a stream with another checkpoint touches none of it. Scratch
-    tables of the steps go once the batch is stored.
+    Each micro-batch is one commit that carries the checkpoint's id and the
+    batch's number; a batch repeated after a failure finds itself committed or
+    is stored anew, so no row is stored twice. Scratch tables of the steps go
+    once the batch is stored.
     """
     spark = broker_rows.sparkSession
     writer = writer_id(spark, checkpoint)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        target = f"{path.rstrip('/')}/write={writer}-{batch_id}"
         with scratch_scope(spark):
-            to_enriched(batch).write.mode("overwrite").partitionBy("sentiment_label").parquet(target)
+            store_batch(to_enriched(batch), path, f"{writer}-{batch_id}", (writer, batch_id))
 
     return start(broker_rows.writeStream.foreachBatch(store), checkpoint, trigger, name)
 
