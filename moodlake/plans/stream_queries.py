@@ -87,7 +87,7 @@ def _labelled_stream(spark, sf_dir):
 
 def _run(spark, aggregate, keys, mode="update"):
     folder = scratch_dir(spark, "live")
-    enrich.run(live.write_updates(aggregate, f"{folder}/rows", f"{folder}/checkpoint", mode, trigger=None))
+    enrich.run(live.write_updates(aggregate, f"{folder}/rows", f"{folder}/checkpoint", mode, trigger=None, keys=keys))
     return live.read_latest(spark, f"{folder}/rows", keys)
 
 

@@ -10,6 +10,7 @@ from moodlake.operators import metrics, trend
 from moodlake.operators.classifier import trainable
 from moodlake.operators.posts import clean_posts, decode_posts, stored_shape
 from moodlake.operators.scoring import RetryPolicy, keyword_scorer, score, score_distinct
+from moodlake.sources import commits
 from moodlake.sources.store import EmptyStore, read_enriched, write_enriched
 from moodlake.streaming import enrich, live
 
@@ -69,7 +70,7 @@ def test_batches_with_distinct_scoring(spark, broker):
         assert enrich.run(enrich.write_stream_batches(
             source, to_enriched, broker + "/store", broker + "/checkpoint", trigger=None
         ))
-    assert sorted(d[-2:] for d in os.listdir(broker + "/store")) == ["-0", "-1"]
+    assert sorted(d.split("-")[2] for d in os.listdir(broker + "/store") if d.startswith("write=")) == ["0", "1"]
     stored = read_enriched(spark, broker + "/store")
     assert rows(stored) == rows(enrich.enrich(spark.read.text(broker + "/in"), scorer))
 
@@ -126,6 +127,33 @@ def test_live_state_survives_a_restart(spark, broker):
     assert rows(run()) == rows(trend.sentiment_trend(batch))
 
 
+def test_live_rows_are_put_together_and_read_back(spark, broker, monkeypatch):
+    """However many batches there were, a reader opens a bounded number of folders, each of them whole."""
+    monkeypatch.setattr(live, "MOST_FOLDERS", 2)
+    for k in range(5):
+        write_messages(broker + "/in", f"more{k}.txt", range(100 + 10 * k, 110 + 10 * k))
+    points = trend.sentiment_trend(labelled_stream(spark, broker), watermark="30 days")
+    assert enrich.run(live.write_updates(points, broker + "/live", broker + "/lc", trigger=None, keys=["window_start"]))
+    batch = enrich.enrich(spark.read.text(broker + "/in"), scorer).filter("timestamp is not null")
+    assert rows(live.read_latest(spark, broker + "/live", ["window_start"])) == rows(trend.sentiment_trend(batch))
+    state = commits.read_state(spark, broker + "/live")
+    assert len(state.live) <= 3 and list(state.batches.values()) >= [6]
+    assert all("/write=" in f for f in live.read_latest(spark, broker + "/live", ["window_start"]).inputFiles())
+
+
+def test_a_batch_stored_before_a_crash_is_not_stored_again(spark, broker):
+    def put(batch_id, n):
+        live._put(spark, broker + "/x", "run", batch_id, lambda older: (spark.range(n), older))
+
+    put(0, 1)
+    put(1, 2)
+    put(1, 3)
+    put(0, 4)
+    assert live.read_feed(spark, broker + "/x").count() == 2
+    with pytest.raises(FileNotFoundError):
+        live.read_feed(spark, broker + "/none")
+
+
 def test_rows_later_than_the_watermark_are_dropped(spark, folder):
     os.makedirs(folder + "/in")
 
@@ -148,8 +176,8 @@ def test_rows_later_than_the_watermark_are_dropped(spark, folder):
 def test_live_feed_over_several_batches(spark, broker):
     query = live.write_feed(labelled_stream(spark, broker), broker + "/feed", broker + "/feed-checkpoint", trigger=None)
     assert enrich.run(query)
-    (run,) = [d for d in os.listdir(broker + "/feed") if d.startswith("run=")]
-    assert len([d for d in os.listdir(f"{broker}/feed/{run}") if d.startswith("batch_id")]) == 2
+    state = commits.read_state(spark, broker + "/feed")
+    assert list(state.batches.values()) == [1] and len(state.live) == 1
     batch = enrich.enrich(spark.read.text(broker + "/in"), scorer).filter("timestamp is not null")
     assert rows(live.read_feed(spark, broker + "/feed")) == rows(trend.recent_feed(batch))
 
@@ -197,7 +225,7 @@ def test_unlabelled_rows_get_no_default_partition(spark, folder):
         " confidence_score float",
     )
     write_enriched(stored_shape(df), folder + "/s")
-    (write,) = os.listdir(folder + "/s")
+    (write,) = [d for d in os.listdir(folder + "/s") if d.startswith("write=")]
     assert [d for d in os.listdir(f"{folder}/s/{write}") if "=" in d] == ["sentiment_label=Neutral"]
 
 
