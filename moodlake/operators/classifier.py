@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from moodlake.functions.predictions import EMPTY_TEXT, unscored
 from moodlake.functions.text import is_blank
+from moodlake.session import scratch_scope, scratch_table
 from moodlake.operators.scoring import with_score
 
 
@@ -88,9 +89,15 @@ def fit_classifier(
     text: str = "cleaned_text",
     label: str = "sentiment_label",
 ) -> tuple[PipelineModel, float]:
-    """The fitted model and the seconds it took."""
+    """The fitted model and the seconds it took.
+
+    Three stages read the rows. Text and label are stored once in the shared scratch folder, so that the source is read
+    and cleaned once, and removed when the model is there.
+    """
     started = time.monotonic()
-    model = build_pipeline(params, text, label).fit(trainable(df, text, label))
+    with scratch_scope(df.sparkSession):
+        rows = scratch_table(trainable(df, text, label), "training")
+        model = build_pipeline(params, text, label).fit(rows)
     return model, time.monotonic() - started
 
 

@@ -11,7 +11,7 @@ from moodlake.operators import classifier, evaluation
 from moodlake.operators.split import hash_split
 from moodlake.plans.posts_view import LABELLED_SQL, labelled, table
 from moodlake.plans.registry import query
-from moodlake.plans.text_queries import _term_sql
+from moodlake.plans.text_queries import IDF_SQL, words_sql
 
 _PAIR = ("sentiment_label", "model_label")
 
@@ -86,9 +86,9 @@ def _(spark, sf_dir):
 
 @query(
     "hashed_term_weights",
-    _term_sql(f"{LABELLED_SQL}, texts AS (SELECT id AS row, cleaned_text FROM labelled)").replace(
-        "SELECT term,", "SELECT"
-    ).replace("      round(ln(", "      round(count(*) * ln(").replace("), 6) AS idf", "), 3) AS weight"),
+    words_sql(
+        f"{LABELLED_SQL}, texts AS (SELECT id AS row, cleaned_text FROM labelled)", f"round(count(*) * {IDF_SQL}, 3) AS weight"
+    ),
 )
 def _(spark, sf_dir):
     """Counts and IDF weights per hash bucket; the posts' few terms share none."""

@@ -127,11 +127,16 @@ WHITESPACE_SQL = "(" + " || ".join(
 ) + ")"
 
 
-def keyword_sql(text: str, tie_key: str) -> str:
+def polarity_sql(text: str) -> tuple[str, str]:
+    """Whether a text holds a good word, and whether a bad one."""
     def any_of(words: tuple[str, ...]) -> str:
         return "(" + " OR ".join(f"lower({text}) LIKE '%{w}%'" for w in words) + ")"
 
-    good, bad = any_of(POSITIVE_KEYWORDS), any_of(NEGATIVE_KEYWORDS)
+    return any_of(POSITIVE_KEYWORDS), any_of(NEGATIVE_KEYWORDS)
+
+
+def keyword_sql(text: str, tie_key: str) -> str:
+    good, bad = polarity_sql(text)
     even = f"substr(md5({tie_key}), 32, 1) IN ('0','2','4','6','8','a','c','e')"
     return f"""CASE WHEN {good} AND {bad} THEN CASE WHEN {even} THEN 'Positive' ELSE 'Negative' END
   WHEN {good} THEN 'Positive' WHEN {bad} THEN 'Negative' ELSE 'Neutral' END"""

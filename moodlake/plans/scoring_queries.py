@@ -9,7 +9,7 @@ from moodlake.operators.posts import clean_posts
 from moodlake.operators.scoring import (
     keyword_scorer, score, score_columns, score_distinct, score_responses,
 )
-from moodlake.plans.posts_view import LABELLED_SQL, POSTS_SQL, clean_sql, keyword_sql, labelled, posts, table
+from moodlake.plans.posts_view import LABELLED_SQL, POSTS_SQL, clean_sql, keyword_sql, labelled, polarity_sql, posts, table
 from moodlake.plans.registry import query
 
 
@@ -66,7 +66,7 @@ def _(spark, sf_dir):
 
 def _keyword_scorer_sql(source: str, key: str) -> str:
     label = keyword_sql("cleaned_text", "cleaned_text")
-    both = keyword_sql("cleaned_text", "cleaned_text").split("THEN CASE")[0].removeprefix("CASE WHEN ")
+    both = " AND ".join(polarity_sql("cleaned_text"))
     return f"""{source} SELECT {key},
       CASE WHEN trim(cleaned_text) = '' THEN 'Neutral' ELSE {label} END AS sentiment_label,
       CASE WHEN trim(cleaned_text) = '' THEN 0.0 WHEN {both} THEN 0.5 ELSE 1.0 END::DOUBLE AS confidence,

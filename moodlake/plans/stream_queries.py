@@ -12,7 +12,7 @@ from moodlake.plans.metric_queries import (
     FEED_SQL, KPI_SQL, SENTIMENT_ROW_SQL, SOURCE_ROW_SQL, THROUGHPUT_SQL, TREND_SQL, _shown, shown_feed, start_text,
 )
 from moodlake.plans.posts_view import (
-    POSTS_SQL, broker_stream, clean_sql, labelled_from, posts, posts_from_events, stream_table,
+    POSTS_SQL, broker_stream, clean_sql, labelled_from, posts, posts_from_events, stream_table, table,
 )
 from moodlake.plans.registry import query
 from moodlake.plans.scoring_queries import _keyword_scorer_sql
@@ -20,21 +20,24 @@ from moodlake.session import scratch_dir
 from moodlake.sources.store import read_enriched, write_enriched
 from moodlake.streaming import enrich, live
 
-# Files arrive in no order of time, so the watermark covers the table's month
-# and no row counts as late.
-WATERMARK = "40 days"
+
+def _watermark(spark, sf_dir):
+    """Files arrive in no order of time, so the watermark covers the time the table covers and no row counts as late."""
+    times = table(spark, sf_dir, "events").agg(F.min("ts").alias("first"), F.max("ts").alias("last")).first()
+    return f"{(times.last - times.first).days + 1 if times.last else 1} days"
+
 
 _STORED_SQL = _keyword_scorer_sql(
     f"""WITH {POSTS_SQL}, c AS (SELECT id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, tweet_text AS original_text,
       {clean_sql('tweet_text')} AS cleaned_text FROM posts)""",
     "id, ts, original_text, cleaned_text",
-).replace(",\n      CASE WHEN trim(cleaned_text) = '' THEN 'empty_text' END AS inference_error", "")
+)
 
 
 def _stored(rows):
     return rows.select(
         "id", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "original_text", "cleaned_text",
-        "sentiment_label", F.round(F.col("confidence_score").cast("double"), 4).alias("confidence"),
+        "sentiment_label", F.round(F.col("confidence_score").cast("double"), 4).alias("confidence"), "inference_error",
     )
 
 
@@ -93,13 +96,13 @@ def _run(spark, aggregate, keys, mode="update"):
 
 @query("stream_trend", TREND_SQL)
 def _(spark, sf_dir):
-    points = trend.sentiment_trend(_labelled_stream(spark, sf_dir), watermark=WATERMARK)
+    points = trend.sentiment_trend(_labelled_stream(spark, sf_dir), watermark=_watermark(spark, sf_dir))
     return _shown(_run(spark, points, ["window_start"]))
 
 
 @query("stream_throughput", THROUGHPUT_SQL)
 def _(spark, sf_dir):
-    counts = metrics.throughput(_labelled_stream(spark, sf_dir), watermark=WATERMARK)
+    counts = metrics.throughput(_labelled_stream(spark, sf_dir), watermark=_watermark(spark, sf_dir))
     return _run(spark, counts, ["window_start"]).select(start_text(), "n", "posts_per_second")
 
 

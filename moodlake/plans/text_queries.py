@@ -90,11 +90,17 @@ def _(spark, sf_dir):
     )
 
 
-def _term_sql(texts: str) -> str:
+IDF_SQL = "ln(((SELECT count(*) FROM texts) + 1) / (count(DISTINCT row) + 1))"
+
+
+def words_sql(texts: str, columns: str) -> str:
+    """Columns over all words of ``texts`` (row, cleaned_text), by term."""
     return f"""WITH {texts}, words AS (SELECT row, unnest({_WORDS.format('cleaned_text')}) AS term FROM texts)
-    SELECT term, CAST(count(*) AS BIGINT) AS tf, CAST(count(DISTINCT row) AS BIGINT) AS df,
-      round(ln(((SELECT count(*) FROM texts) + 1) / (count(DISTINCT row) + 1)), 6) AS idf
-    FROM words GROUP BY term"""
+    SELECT {columns}, CAST(count(*) AS BIGINT) AS tf, CAST(count(DISTINCT row) AS BIGINT) AS df FROM words GROUP BY term"""
+
+
+def _term_sql(texts: str) -> str:
+    return words_sql(texts, f"term, round({IDF_SQL}, 6) AS idf")
 
 
 @query("term_stats", _term_sql(f"{LABELLED_SQL}, texts AS (SELECT id AS row, cleaned_text FROM labelled)"))
