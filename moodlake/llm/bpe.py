@@ -113,6 +113,7 @@ class Codec:
     def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.ids = Store(np.uint32)
+        self.back = Store(np.uint8)
         self.spelled: dict[bytes, int] = {}
         self.text = Store(np.uint8)
 
@@ -152,6 +153,10 @@ class Codec:
 
     def encode(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the pieces one after another, and the number of ids of each piece."""
+        return self.ids.gather(self.numbers(pieces))
+
+    def numbers(self, pieces: pa.Array) -> np.ndarray:
+        """The pieces' numbers in the stores: ``ids`` gives their ids, ``decoded`` what these decode to."""
         coded = pieces.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         if len(self.known) + len(distinct) > CACHED_PIECES:
@@ -176,7 +181,17 @@ class Codec:
             self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
             self.ids.add(np.concatenate(found), np.fromiter(map(len, found), np.int64, len(found)))
         numbers = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
-        return self.ids.gather(numbers[coded.indices.to_numpy()])
+        return numbers[coded.indices.to_numpy()]
+
+    def decoded(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes that the ids of encoded pieces decode to, one after another, and the number of bytes of each piece."""
+        for first in range(len(self.back.size), len(self.ids.size), STEP):
+            new = np.arange(first, min(first + STEP, len(self.ids.size)))
+            flat, sizes = self.ids.gather(new)
+            runs = np.split(flat, np.cumsum(sizes)[:-1])
+            spelled = self._ask(DECODE_SQL, runs)["bytes"].to_pylist()
+            self.back.add(np.frombuffer(b"".join(spelled), np.uint8), np.fromiter(map(len, spelled), np.int64, len(spelled)))
+        return self.back.gather(numbers)
 
     def decode(self, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of runs of ids of these sizes one after another, and the number of bytes of each run."""
@@ -224,16 +239,15 @@ def _steps(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(first)
 
 
-def _encoded(c: Codec, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids, ids per piece and the pieces' ends per row of a batch."""
+def _encoded(c: Codec, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the pieces, and the pieces' ends per row of a batch."""
     pieces = batch.column("_pieces")
     odd = batch.column("_odd")
     if odd.null_count < len(odd):
         rows = [p if o is None else c.pattern.findall(o) for p, o in zip(pieces.to_pylist(), odd.to_pylist())]
         pieces = pa.array(rows, pa.list_(pa.string()))
     ends = pieces.offsets.to_numpy().astype(np.int64)
-    ids, sizes = c.encode(pieces.flatten())
-    return ids, sizes, ends - ends[0]
+    return c.numbers(pieces.flatten()), ends - ends[0]
 
 
 def _pieces(docs: DataFrame, pattern: str, text: str, keep: list[str]) -> DataFrame:
@@ -261,7 +275,8 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
         c = codec(path, pattern)
         for batch in batches:
             for part in _steps(batch):
-                ids, sizes, ends = _encoded(c, part)
+                numbers, ends = _encoded(c, part)
+                ids, sizes = c.ids.gather(numbers)
                 at = _by_row(sizes, ends).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(at), pa.array(ids.astype(np.int32)))
                 counts = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(sizes.astype(np.int32)))
@@ -304,8 +319,8 @@ def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text") ->
         c = codec(path, pattern)
         for batch in batches:
             for part in _steps(batch):
-                ids, sizes, ends = _encoded(c, part)
-                text_bytes, n = c.decode(ids, sizes)
+                numbers, ends = _encoded(c, part)
+                (ids, sizes), (text_bytes, n) = c.ids.gather(numbers), c.decoded(numbers)
                 at, spots = _by_row(sizes, ends), _by_row(n, ends)
                 columns = [
                     pa.array(np.diff(at)),
