@@ -153,7 +153,8 @@ class Codec:
 
     def encode(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the pieces one after another, and the number of ids of each piece."""
-        return self.ids.gather(self.numbers(pieces))
+        numbers = self.numbers(pieces)  # may begin the stores anew
+        return self.ids.gather(numbers)
 
     def numbers(self, pieces: pa.Array) -> np.ndarray:
         """The pieces' numbers in the stores: ``ids`` gives their ids, ``decoded`` what these decode to."""
