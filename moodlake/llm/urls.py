@@ -4,8 +4,8 @@ Given rules name a host and a path; the longest that fits decides. URLs no rule
 fits are judged by association rules: FP-growth finds combinations of URL tokens
 that labelled pages share, and a combination becomes a rule if enough labelled
 pages hold it (support) and most of them are labelled bad (confidence). A rule
-whose part does as well is dropped. Rules are matched through an inverted index from token to
-rule: a URL's tokens join it, and a rule fires if all its tokens were met.
+whose part does as well is dropped. Rules are matched through an inverted index from a rule's rarest
+token to the rule: a URL's tokens join it, and the rule fires if the URL has its other tokens, too.
 
 Defined results: a NULL URL, or one without ``://``, has an empty host and path
 and no tokens; repeated rows are each judged; NULL labels do not teach; an
@@ -86,16 +86,40 @@ def tokens(url: Column | str = "url") -> Column:
     return F.when(host != "", F.array_distinct(every)).otherwise(F.array().cast("array<string>"))
 
 
+RULE = "rule_id bigint, tokens array<string>, confidence double, support double, parts array<struct<n:bigint,members:array<string>>>"
+
+
+def closed_tokens(rows: DataFrame, least: float) -> DataFrame:
+    """``token``, ``name``, ``n``: tokens that stand in at least ``least`` of the rows (``rid``, ``items``); those that stand in the same
+    rows share a name, the smallest of them. There are at most tokens per row / share wanted of them."""
+    each = rows.select("rid", F.explode("items").alias("token"))
+    found = each.groupBy("token").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("rid")).alias("a"), F.bit_xor(F.xxhash64("rid", F.lit(1))).alias("b"),
+    ).filter(F.col("n") >= least)
+    found = scratch_table(found, "tokens")
+    names = found.groupBy("n", "a", "b").agg(F.min("token").alias("name"))
+    return scratch_table(found.join(names, ["n", "a", "b"]).select("token", "name", "n"), "closed_tokens")
+
+
 def mine(labelled: DataFrame, url: str = "url", bad: str = "bad", min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """``rule_id``, ``tokens``, ``confidence``, ``support`` from all labelled rows; ``bad`` is boolean."""
+    """``rule_id``, ``tokens``, ``confidence``, ``support``, ``parts`` from all labelled rows; ``bad`` is boolean.
+
+    Tokens that stand in the same labelled rows are mined as one, so a page with many parameters of its own adds one token
+    and not all their combinations. Such a rule stands for those with any of these tokens in their place: ``parts`` holds, for
+    each of its ``tokens``, all that may stand for it, the rarest part first.
+    """
     rows = labelled.filter(F.col(bad).isNotNull()).select(tokens(url).alias("items"), F.col(bad).alias("bad")).filter(F.size("items") > 0)
-    rows = scratch_table(rows.select(
+    rows = scratch_table(rows.withColumn("rid", F.monotonically_increasing_id()), "labelled_urls")
+    total = rows.count()
+    if not total:
+        return rows.sparkSession.createDataFrame([], RULE)
+    names = closed_tokens(rows, min_support * total)
+    items = rows.select("rid", "bad", F.explode("items").alias("token")).join(F.broadcast(names), "token", "left")
+    items = items.groupBy("rid", "bad").agg(F.collect_set("name").alias("items"))
+    items = scratch_table(items.select(
         F.when(F.col("bad"), F.array_union("items", F.array(F.lit(BAD)))).otherwise(F.col("items")).alias("items")
     ), "transactions")
-    empty = "rule_id bigint, tokens array<string>, confidence double, support double"
-    if rows.isEmpty():
-        return rows.sparkSession.createDataFrame([], empty)
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(rows)
+    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
     found = model.associationRules.filter((F.size("consequent") == 1) & (F.element_at("consequent", 1) == BAD))
     found = scratch_table(found.select(
         F.xxhash64(F.array_sort("antecedent")).alias("rule_id"), F.array_sort("antecedent").alias("tokens"), "confidence", "support"
@@ -106,17 +130,25 @@ def mine(labelled: DataFrame, url: str = "url", bad: str = "bad", min_support: f
     ).select("rule_id", "confidence", F.xxhash64("part").alias("part_id"))
     known = found.select(F.col("rule_id").alias("part_id"), F.col("confidence").alias("part_confidence"))
     idle = shorter.join(known, "part_id").filter("part_confidence >= confidence").select("rule_id").distinct()
-    return found.join(idle, "rule_id", "left_anti").select("rule_id", "tokens", "confidence", "support")
+    kept = found.join(idle, "rule_id", "left_anti")
+    members = names.groupBy("name").agg(F.first("n").alias("n"), F.sort_array(F.collect_list("token")).alias("members"))
+    parts = kept.select("rule_id", F.explode("tokens").alias("name")).join(members, "name")
+    parts = parts.groupBy("rule_id").agg(F.sort_array(F.collect_list(F.struct("n", "members"))).alias("parts"))
+    return kept.join(parts, "rule_id").select("rule_id", "tokens", "confidence", "support", "parts")
 
 
 def matched(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
-    """Distinct URLs for which a mined rule fires: ``url``, ``rule_id`` (the smallest)."""
-    index = scratch_table(rules.select("rule_id", F.size("tokens").alias("need"), F.explode("tokens").alias("token")), "rule_index")
+    """Distinct URLs for which a mined rule fires: ``url``, ``rule_id`` (the smallest).
+
+    A rule is indexed under the tokens of its rarest part only; a URL that has one of them is tested for the others in its own row.
+    """
+    index = scratch_table(rules.select("rule_id", "parts.members", F.explode(F.col("parts")[0]["members"]).alias("token")), "rule_index")
     if index.count() <= BROADCAST_ROWS:
         index = F.broadcast(index)
-    each = urls.select(url).distinct().select(url, F.explode(tokens(url)).alias("token"))
-    met = each.join(index, "token").groupBy(url, "rule_id", "need").agg(F.count(F.lit(1)).alias("met")).filter("met = need")
-    return met.groupBy(url).agg(F.min("rule_id").alias("rule_id"))
+    held = urls.select(url).distinct().select(url, tokens(url).alias("held"))
+    each = held.select(url, "held", F.explode("held").alias("token"))
+    fires = F.forall("members", lambda part: F.arrays_overlap(part, F.col("held")))
+    return each.join(index, "token").filter(fires).groupBy(url).agg(F.min("rule_id").alias("rule_id"))
 
 
 def judge(

@@ -1,4 +1,6 @@
+import random
 import re
+from itertools import combinations
 
 import pytest
 from conftest_paths import SMALL
@@ -79,3 +81,48 @@ def test_matching_equals_subset_test(spark, labelled, monkeypatch):
 
 def test_unlabelled_corpus_mines_nothing(spark):
     assert urls.mine(spark.createDataFrame([("http://a.b/c", False)] * 50, "url string, bad boolean")).count() == 0
+
+
+def brute_rules(rows, support, confidence):
+    """All token sets, tried one by one: antecedent -> confidence, without those a smaller one equals."""
+    tokens = sorted({t for held, _ in rows for t in held})
+    found = {}
+    for n in range(1, len(tokens) + 1):
+        for chosen in combinations(tokens, n):
+            held = [bad for t, bad in rows if set(chosen) <= t]
+            if sum(held) >= support * len(rows) and held and sum(held) >= confidence * len(held):
+                found[frozenset(chosen)] = sum(held) / len(held)
+    return {k: c for k, c in found.items() if not any(found.get(k - {t}, -1) >= c for t in k)}
+
+
+def test_rules_equal_a_brute_force_miner(spark):
+    rng = random.Random(1)
+    links = []
+    for i in range(60):
+        host, part = rng.choice(["a.x", "b.x"]), rng.choice(["p", "q"])
+        links.append((f"http://{host}/{part}?k=1&l=2" if rng.random() < 0.5 else f"http://{host}/{part}", host == "a.x" and (part == "p" or rng.random() < 0.3)))
+    frame = spark.createDataFrame(links, "url string, bad boolean")
+    held = [(frozenset(r.t), r.bad) for r in frame.select(urls.tokens("url").alias("t"), "bad").collect()]
+    rules = urls.mine(frame, min_support=0.05, min_confidence=0.7).collect()
+    name = {t: min(part.members) for rule in rules for part in rule.parts for t in part.members}
+    want = {}
+    for chosen, sure in brute_rules(held, 0.05, 0.7).items():
+        closed = frozenset(name.get(t, t) for t in chosen)
+        want[closed] = sure
+    assert {frozenset(r.tokens): round(r.confidence, 9) for r in rules} == {k: round(c, 9) for k, c in want.items()}
+    # Whatever single rules a part stands for, a URL fires by them exactly if it fires by the rule.
+    fired = {r.url for r in urls.matched(frame, urls.mine(frame, min_support=0.05, min_confidence=0.7)).collect()}
+    single = brute_rules(held, 0.05, 0.7)
+    assert fired == {u for (u, _), (t, _) in zip(links, held) if any(k <= t for k in single)}
+
+
+def test_many_parameters_on_a_hot_page(spark):
+    """Forty parameters that always come together are one token, not 2^40 combinations."""
+    query = "&".join(f"k{i}=1" for i in range(40))
+    rows = [(f"http://bad.example/x?{query}", True)] * 30 + [(f"http://good.example/y{i}", False) for i in range(70)]
+    frame = spark.createDataFrame(rows, "url string, bad boolean")
+    rules = urls.mine(frame)
+    assert rules.count() <= 3
+    links = [f"http://bad.example/x?{query}", "http://other.example/z?k7=2", "http://good.example/y1"]
+    got = {r.row.url: r.verdict for r in urls.judge(spark.createDataFrame([(u,) for u in links], "url string"), frame).collect()}
+    assert got == {links[0]: "block", links[1]: "block", links[2]: "allow"}
