@@ -24,7 +24,7 @@ def _scoring(args: argparse.Namespace):
     module, _, name = args.scorer.partition(":")
     factory = getattr(importlib.import_module(module), name)
     if args.distinct:
-        return lambda df: score_distinct(df, factory, **settings)
+        return lambda df: score_distinct(df, factory, remember=args.remember, **settings)
     return lambda df: score(df, factory, **settings)
 
 
@@ -45,6 +45,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--scorer", help="module:factory of a scorer; default: keywords, as a native expression")
     parser.add_argument("--model", help="saved classifier in the scorer's place")
     parser.add_argument("--distinct", action="store_true", help="ask once per distinct text (of a micro-batch)")
+    parser.add_argument("--remember", help="table of answers that are kept, one per model; with --distinct")
     parser.add_argument("--tasks", type=int, help="spread rows over this many scoring tasks")
     parser.add_argument("--call-size", type=int, default=64, help="texts per call of the scorer")
     parser.add_argument("--calls-at-once", type=int, default=1, help="calls a task waits for at a time")
@@ -57,6 +58,8 @@ def main(argv: list[str] | None = None) -> None:
     for flag in ("distinct", "tasks", "call_size", "calls_at_once", "attempts", "rest_after", "rest_seconds"):
         if not args.scorer and getattr(args, flag) != parser.get_default(flag):
             parser.error(f"--{flag.replace('_', '-')} has an effect with --scorer only")
+    if args.remember and not args.distinct:
+        parser.error("--remember goes with --distinct")
     if args.batch and args.replays_within:
         parser.error("--replays-within is for streams")
     if not args.batch and not args.checkpoint:

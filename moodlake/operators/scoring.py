@@ -23,6 +23,7 @@ from moodlake.functions.predictions import (
 )
 from moodlake.functions.text import NEGATIVE_KEYWORDS, POSITIVE_KEYWORDS, has_any, is_blank, keyword_sentiment
 from moodlake.session import scratch_table
+from moodlake.sources import answers as answers_kept
 
 Scorer = Callable[[list[str]], list[tuple[str, float]]]
 
@@ -194,6 +195,7 @@ def score_distinct(
     calls_at_once: int = 1,
     hot_share: float = 1e-5,
     tasks: int | None = None,
+    remember: str | None = None,
 ) -> DataFrame:
     """``score``, asking the model once per distinct text of the whole table (batch only).
 
@@ -206,7 +208,8 @@ def score_distinct(
     bytes each) by a broadcast join without moving the rows, the others by a
     shuffled join in which no key is hot. A text without an answer is marked
     unavailable. ``scratch_scope`` removes the scratch tables once the result
-    is stored.
+    is stored. ``remember`` names a table of answers (``sources.answers``): texts found there are not asked about, and new answers
+    without an error are added to it, so that a text of one micro-batch is not asked about in a later one.
     """
     if not 1e-5 <= hot_share <= 1:
         raise ValueError("hot_share bounds the broadcast: choose 0.00001 to 1")
@@ -216,9 +219,17 @@ def score_distinct(
         df.filter(~is_blank(text)).groupBy(F.col(text).alias("_text")).agg(F.count(F.lit(1)).alias("_rows"))
         .repartition(tasks, "_text")
     )
+    texts = texts.withColumn("_key", F.sha2("_text", 256))
+    kept = None
+    if remember:
+        texts = scratch_table(texts, "texts")
+        kept = answers_kept.known(texts.select(F.col("_key").alias("key")), remember).withColumnRenamed("key", "_key")
+        given = F.struct("label", "score", F.lit(None).cast("string").alias("error")).alias("_answer")
+        kept = texts.join(kept, "_key").select("_key", "_rows", given)
+        texts = texts.join(kept, "_key", "left_anti").repartition(tasks, "_text")
     answers = scratch_table(
         score(texts, factory, "_text", retry, call_size, calls_at_once).select(
-            F.sha2("_text", 256).alias("_key"), "_rows",
+            "_key", "_rows",
             F.struct(
                 F.col("sentiment_label").alias("label"),
                 F.col("confidence_score").alias("score"),
@@ -227,6 +238,11 @@ def score_distinct(
         ),
         "answers",
     )
+    if remember:
+        new = answers.filter("_answer.error IS NULL")
+        if not new.isEmpty():
+            answers_kept.remember(new.select(F.col("_key").alias("key"), "_answer.label", "_answer.score"), remember)
+        answers = answers.unionByName(kept)
     total = answers.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("n")).first().n
     is_hot = F.col("_rows") > int(total * hot_share)
     hot = F.broadcast(answers.filter(is_hot).select("_key", "_answer"))

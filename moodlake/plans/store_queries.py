@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from moodlake import schemas
 from moodlake.operators import sums
 from moodlake.operators.ingest import messages
-from moodlake.operators.scoring import keyword_scorer, score
+from moodlake.operators.scoring import keyword_scorer, score, score_distinct
 from moodlake.plans.metric_queries import KPI_SQL, TREND_SQL, _shown
-from moodlake.plans.posts_view import LABELLED_SQL, labelled, labelled_from, posts
+from moodlake.plans.posts_view import LABELLED_SQL, POSTS_SQL, clean_sql, labelled, labelled_from, posts
 from moodlake.plans.registry import query
 from moodlake.plans.stream_queries import _STORED_SQL, _stored
 from moodlake.session import scratch_dir
+from moodlake.sources.answers import read_answers
 from moodlake.sources.store import fold, read_enriched, read_sums, vacuum, write_enriched
 from moodlake.streaming import enrich
 
@@ -102,3 +103,36 @@ def _(spark, sf_dir):
     enriched = enrich.enrich(enrich.without_replays(source), lambda df: score(df, keyword_scorer))
     enrich.run(enrich.write_stream(enriched, f"{folder}/store", f"{folder}/checkpoint", trigger=None))
     return _stored(read_enriched(spark, f"{folder}/store"))
+
+
+def _remembered(spark, sf_dir):
+    """A store and a table of answers, filled by a stream of three micro-batches."""
+    folder = scratch_dir(spark, "remember")
+    landed = messages(posts(spark, sf_dir)).select("value")
+    third = F.pmod(F.xxhash64("value"), F.lit(3))
+    for k in range(3):
+        landed.filter(third == k).coalesce(1).write.mode("append").parquet(f"{folder}/topic")
+    source = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).parquet(f"{folder}/topic")
+
+    def to_enriched(batch):
+        return enrich.enrich(batch, lambda df: score_distinct(df, keyword_scorer, remember=f"{folder}/answers"))
+
+    enrich.run(enrich.write_stream_batches(source, to_enriched, f"{folder}/store", f"{folder}/checkpoint", trigger=None))
+    return folder
+
+
+@query("stream_remembered", _STORED_SQL)
+def _(spark, sf_dir):
+    """Later micro-batches take the answers of earlier ones; the stored posts are those of any other way of scoring."""
+    return _stored(read_enriched(spark, f"{_remembered(spark, sf_dir)}/store"))
+
+
+@query(
+    "answers_asked_once",
+    f"""WITH {POSTS_SQL}, c AS (SELECT {clean_sql('tweet_text')} AS cleaned_text FROM posts)
+    SELECT sha256(cleaned_text) AS key, 1::BIGINT AS answers FROM c WHERE trim(cleaned_text) <> '' GROUP BY cleaned_text""",
+)
+def _(spark, sf_dir):
+    """How often each text was answered over all micro-batches."""
+    answers = read_answers(spark, f"{_remembered(spark, sf_dir)}/answers")
+    return answers.groupBy("key").agg(F.count(F.lit(1)).alias("answers"))
