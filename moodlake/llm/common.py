@@ -29,7 +29,7 @@ def words(text: Column | str) -> Column:
     return F.array_remove(F.split(F.coalesce(column, F.lit("")), SPACES), "")
 
 
-def join_hot(left: DataFrame, lookup: DataFrame, key: str, rows: str, hint: str | None = None) -> DataFrame:
+def join_hot(left: DataFrame, lookup: DataFrame, key: str, rows: str, hint: str | None = None, how: str = "left") -> DataFrame:
     """Left join with a lookup of one row per key, whatever share of ``left`` a key has.
 
     ``rows`` is the lookup's column with the key's number of rows in ``left``.
@@ -37,6 +37,7 @@ def join_hot(left: DataFrame, lookup: DataFrame, key: str, rows: str, hint: str
     the size of the data) come by broadcast; the others by a shuffle join in
     which no key is large. NULL keys find nothing and are dealt with apart.
     ``hint`` names the kind of that join where it should not depend on sizes.
+    ``how="inner"`` leaves out the rows that find nothing, before they are shuffled or joined where that can be told.
     """
     total = lookup.agg(F.coalesce(F.sum(rows), F.lit(0))).first()[0]
     values = [c for c in lookup.columns if c not in (key, rows)]
@@ -44,6 +45,10 @@ def join_hot(left: DataFrame, lookup: DataFrame, key: str, rows: str, hint: str
     hot = lookup.filter(is_hot).select(key, F.struct(*values).alias("_hot"))
     cold = lookup.filter(~is_hot).select(key, *values)
     cold = cold.hint(hint) if hint else cold
+    if how == "inner":
+        first = left.join(F.broadcast(hot), key).select(*left.columns, *[F.col(f"_hot.{c}").alias(c) for c in values])
+        rest = left.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
+        return first.unionByName(rest.select(*left.columns, *values))
     marked = left.join(F.broadcast(hot), key, "left")
     first = marked.filter(F.col("_hot").isNotNull() | F.col(key).isNull())
     rest = marked.filter(F.col("_hot").isNull() & F.col(key).isNotNull()).drop("_hot").join(cold, key, "left")

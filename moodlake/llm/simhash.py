@@ -117,7 +117,7 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) ->
     keys = scratch_table(keys.select("key", "n", "a", "b"), "signatures")
     two = keys.filter(f"n = 2 AND bit_count(a ^ b) <= {max_bits}").select("a", "b")
     many = keys.filter("n > 2").selectExpr("key", "n", f"(n + {block - 1}) div {block} AS blocks")
-    blocks = join_hot(met.select("key", "fp"), many, "key", "n").filter("blocks IS NOT NULL").selectExpr(
+    blocks = join_hot(met.select("key", "fp"), many, "key", "n", how="inner").selectExpr(
         "key", "fp", "pmod(xxhash64(fp), blocks) AS own", "blocks"
     )
     paired = blocks.select(
