@@ -3,6 +3,7 @@ import math
 import pytest
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.feature import HashingTF, IDF, StringIndexer, Tokenizer
+from pyspark.sql import functions as F
 
 from moodlake.operators import classifier, evaluation
 
@@ -91,3 +92,22 @@ def test_label_index_matches_the_indexer(spark):
     got = {r.sentiment_label: r["index"] for r in classifier.label_index(df).collect()}
     assert got == {"a": 0.0, "b": 1.0, "c": 2.0, "d": 3.0}
     assert StringIndexer(inputCol="sentiment_label", outputCol="i", handleInvalid="skip").fit(df).labels == list("abcd")
+
+
+def test_buckets_that_never_occur_are_left_out_of_the_regression(spark, data, model):
+    """Each gradient sent to the driver is classes x buckets; the model is the one fitted on all of them."""
+    assert model.stages[4].numFeatures == len({word for text, _label in TEXTS for word in text.split()})
+    rows = classifier.trainable(data)
+    whole = classifier.build_pipeline(SMALL).fit(rows)
+    assert whole.stages[4].numFeatures == SMALL.features
+    new = spark.createDataFrame([("love waste tuesday",), ("none of these",), ("",)], "cleaned_text string").withColumn("sentiment_label", F.lit("?"))
+    probed = rows.distinct().unionByName(new)
+    ours, theirs = ({r.cleaned_text: r.probability for r in classifier.predict(m, probed).collect()} for m in (model, whole))
+    assert len(ours) == 6
+    assert all(ours[text].toArray() == pytest.approx(theirs[text].toArray(), abs=1e-9) for text in ours)
+
+
+def test_many_buckets_are_not_sliced(spark, monkeypatch, data):
+    monkeypatch.setattr(classifier, "MOST_SLICED", 3)
+    fitted, _seconds = classifier.fit_classifier(data, SMALL)
+    assert fitted.stages[4].numFeatures == SMALL.features
