@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from moodlake.functions.text import NEGATIVE_KEYWORDS, POSITIVE_KEYWORDS, clean_text, keyword_sentiment
 from moodlake.operators.ingest import messages
+from moodlake.session import spread
 
 PHRASES = (
     "I love this, truly amazing!",
@@ -67,6 +68,11 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posts_from_events(table(spark, sf_dir, "events"))
 
 
+def spread_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same posts, made in many tasks: events are few bytes, and a text and what becomes of it many."""
+    return posts_from_events(spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")))
+
+
 def labelled_from(rows: DataFrame) -> DataFrame:
     """Posts cleaned and labelled by keyword, next to the model's columns."""
     return rows.select(

@@ -9,10 +9,10 @@ from moodlake.operators import sums
 from moodlake.operators.ingest import messages
 from moodlake.operators.scoring import keyword_scorer, score, score_distinct
 from moodlake.plans.metric_queries import KPI_SQL, TREND_SQL, _shown
-from moodlake.plans.posts_view import LABELLED_SQL, POSTS_SQL, clean_sql, labelled, labelled_from, posts
+from moodlake.plans.posts_view import LABELLED_SQL, POSTS_SQL, clean_sql, labelled, labelled_from, posts, spread_posts
 from moodlake.plans.registry import query
 from moodlake.plans.stream_queries import _STORED_SQL, _stored
-from moodlake.session import scratch_dir
+from moodlake.session import scratch_dir, scratch_table
 from moodlake.sources.answers import read_answers
 from moodlake.sources.store import fold, read_enriched, read_sums, vacuum, write_enriched
 from moodlake.streaming import enrich
@@ -75,19 +75,33 @@ def _(spark, sf_dir):
     return sums.failure_rate(read_sums(spark, _filled(spark, sf_dir, 3)))
 
 
+def _arrive(waves, topic, start):
+    """Each wave lands as files of many tasks and is one micro-batch of one checkpoint, however many files it has."""
+    for wave in waves:
+        wave.write.mode("append").parquet(topic)
+        enrich.run(start(wave.sparkSession.readStream.schema(wave.schema).parquet(topic)))
+
+
+def _thirds(spark, sf_dir):
+    """All messages in three parts, dealt out by a hash."""
+    landed = scratch_table(messages(spread_posts(spark, sf_dir)).select("value"), "landed")
+    return [landed.filter(F.pmod(F.xxhash64("value"), F.lit(3)) == k) for k in range(3)]
+
+
 @query("stream_late_trend", TREND_SQL)
 def _(spark, sf_dir):
     """Days that arrive newest first, a micro-batch each third of them: late rows add to the sums of windows long past."""
     folder = scratch_dir(spark, "late")
-    landed = posts(spark, sf_dir)
+    landed = scratch_table(spread_posts(spark, sf_dir), "landed")
     day = F.floor(F.unix_seconds("timestamp") / 86400)
     newest = landed.agg(F.max(day)).first()[0] or 0
-    for k in range(3):
-        late = F.least(F.floor((newest - day) / 10), F.lit(2)) == k
-        landed.filter(late).coalesce(1).write.mode("append").parquet(f"{folder}/topic")
-    source = spark.readStream.schema(landed.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/topic")
-    rows = labelled_from(source).select(*schemas.STORED.fieldNames())
-    enrich.run(enrich.write_stream(rows, f"{folder}/store", f"{folder}/checkpoint", trigger=None))
+    late = F.least(F.floor((newest - day) / 10), F.lit(2))
+
+    def start(source):
+        rows = labelled_from(source).select(*schemas.STORED.fieldNames())
+        return enrich.write_stream(rows, f"{folder}/store", f"{folder}/checkpoint", trigger=None)
+
+    _arrive([landed.filter(late == k) for k in range(3)], f"{folder}/topic", start)
     return _shown(sums.sentiment_trend(read_sums(spark, f"{folder}/store")))
 
 
@@ -95,13 +109,13 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """All messages arrive twice, some within a micro-batch, some in a later one; each id is stored once."""
     folder = scratch_dir(spark, "replay")
-    landed = messages(posts(spark, sf_dir)).select("value")
-    first = F.pmod(F.xxhash64("value"), F.lit(3))
-    for keep in (first < 2, first > 0, first != 1):
-        landed.filter(keep).write.mode("append").parquet(f"{folder}/topic")
-    source = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).parquet(f"{folder}/topic")
-    enriched = enrich.enrich(enrich.without_replays(source), lambda df: score(df, keyword_scorer))
-    enrich.run(enrich.write_stream(enriched, f"{folder}/store", f"{folder}/checkpoint", trigger=None))
+    a, b, c = _thirds(spark, sf_dir)
+
+    def start(source):
+        enriched = enrich.enrich(enrich.without_replays(source), lambda df: score(df, keyword_scorer))
+        return enrich.write_stream(enriched, f"{folder}/store", f"{folder}/checkpoint", trigger=None)
+
+    _arrive([a.union(a).union(b), b.union(c), c], f"{folder}/topic", start)
     return _stored(read_enriched(spark, f"{folder}/store"))
 
 

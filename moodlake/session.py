@@ -82,6 +82,15 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt out evenly to as many tasks as the session's shuffles have.
+
+    Scans go by bytes: a compact table is read by few tasks, however much work its rows are. Spark moves filters that follow
+    below the exchange, so store what is dear before filtering by it.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def scratch_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the scratch folder and read it back.
 
