@@ -9,7 +9,7 @@ from moodlake.operators import sums
 from moodlake.operators.ingest import messages
 from moodlake.operators.scoring import keyword_scorer, score, score_distinct
 from moodlake.plans.metric_queries import KPI_SQL, TREND_SQL, _shown
-from moodlake.plans.posts_view import LABELLED_SQL, POSTS_SQL, clean_sql, labelled, labelled_from, posts, spread_posts
+from moodlake.plans.posts_view import LABELLED_SQL, POSTS_SQL, clean_sql, labelled, labelled_from, spread_posts
 from moodlake.plans.registry import query
 from moodlake.plans.stream_queries import _STORED_SQL, _stored
 from moodlake.session import scratch_dir, scratch_table
@@ -122,16 +122,14 @@ def _(spark, sf_dir):
 def _remembered(spark, sf_dir):
     """A store and a table of answers, filled by a stream of three micro-batches."""
     folder = scratch_dir(spark, "remember")
-    landed = messages(posts(spark, sf_dir)).select("value")
-    third = F.pmod(F.xxhash64("value"), F.lit(3))
-    for k in range(3):
-        landed.filter(third == k).coalesce(1).write.mode("append").parquet(f"{folder}/topic")
-    source = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).parquet(f"{folder}/topic")
 
     def to_enriched(batch):
         return enrich.enrich(batch, lambda df: score_distinct(df, keyword_scorer, remember=f"{folder}/answers"))
 
-    enrich.run(enrich.write_stream_batches(source, to_enriched, f"{folder}/store", f"{folder}/checkpoint", trigger=None))
+    def start(source):
+        return enrich.write_stream_batches(source, to_enriched, f"{folder}/store", f"{folder}/checkpoint", trigger=None)
+
+    _arrive(_thirds(spark, sf_dir), f"{folder}/topic", start)
     return folder
 
 

@@ -322,3 +322,20 @@ def test_scratch_tables_of_a_batch_go(spark, broker, monkeypatch):
     ))
     assert len(made) == 2 and not any(os.path.exists(p) for p in made)
     assert read_enriched(spark, broker + "/store").count() == 62
+
+
+@pytest.mark.parametrize("name, root", [("stream_replayed", "replay"), ("stream_remembered", "remember"), ("stream_late_trend", "late")])
+def test_a_wave_is_many_files_and_one_micro_batch(spark, folder, monkeypatch, name, root):
+    """Micro-batches do not grow in number with the input's files, and no wave passes one task."""
+    from moodlake.plans.registry import QUERIES
+    from moodlake.streaming import enrich as streams
+
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").repartition(6).write.parquet(f"{folder}/events.parquet")
+    seen, store = set(), streams.store_batch
+    monkeypatch.setattr(streams, "store_batch", lambda rows, *rest: seen.add(rest[1]) or store(rows, *rest))
+    monkeypatch.setattr("moodlake.plans.store_queries.scratch_dir", lambda spark, name: f"{folder}/{name}")
+    got = QUERIES[name](spark, folder)
+    plain = QUERIES["stream_enrich" if name != "stream_late_trend" else "stream_trend"](spark, folder)
+    assert got.exceptAll(plain).isEmpty() and plain.exceptAll(got).isEmpty()
+    assert 3 <= len(seen) <= 9  # three waves, and around each batches without data that only move the watermark
+    assert spark.read.parquet(f"{folder}/{root}/topic").selectExpr("input_file_name() AS f").distinct().count() > 6
