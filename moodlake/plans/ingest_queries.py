@@ -205,10 +205,10 @@ def _(spark, sf_dir):
         "id", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
         F.concat("tweet_text", F.lit("\n"), "source").alias("tweet_text"), F.col("id").cast("long").alias("place"),
     )
-    # The files' names are in the order of ids; the first one holds part of the wanted rows.
-    early = rows.filter(F.col("place") < _FIRST // 2).coalesce(1).sortWithinPartitions("place")
-    _write_csv(early.drop("place"), f"{folder}/1", "UTF-8")
-    _write_csv(rows.filter(F.col("place") >= _FIRST // 2).coalesce(1).sortWithinPartitions("place").drop("place"), f"{folder}/2", "UTF-8")
+    # The files' names are in the order of ids, a file per range of them; the first folder holds part of the wanted rows.
+    for name, part in (("1", F.col("place") < _FIRST // 2), ("2", F.col("place") >= _FIRST // 2)):
+        ranges = rows.filter(part).repartitionByRange("place").sortWithinPartitions("place")
+        _write_csv(ranges.drop("place"), f"{folder}/{name}", "UTF-8")
     return read_csv(spark, [f"{folder}/1", f"{folder}/2"], max_records=_FIRST).select("id", "tweet_text")
 
 

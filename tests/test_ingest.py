@@ -244,3 +244,22 @@ def test_broker_options():
     sink = broker.sink_options("host:1")
     assert sink["kafka.acks"] == "all" and sink["kafka.max.in.flight.requests.per.connection"] == "1"
     assert sink["kafka.retries"] == "3" and sink["kafka.linger.ms"] == "10" and sink["kafka.batch.size"] == "32768"
+
+
+def test_first_rows_are_not_sorted_in_one_task(spark, folder, monkeypatch):
+    """The files a cap is tried on are written by range of ids, so that no task holds them all."""
+    from moodlake.plans import ingest_queries
+    from moodlake.plans.posts_view import posts
+    from moodlake.plans.registry import QUERIES
+
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").write.parquet(f"{folder}/events.parquet")
+    monkeypatch.setattr(ingest_queries, "scratch_dir", lambda spark, name: f"{folder}/{name}")
+    partitions = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = QUERIES["csv_first_rows"](spark, folder)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", partitions)
+    assert spark.read.text(f"{folder}/csv/2").selectExpr("input_file_name() AS f").distinct().count() > 1
+    wanted = posts(spark, folder).selectExpr("id", "concat(tweet_text, '\n', source) AS tweet_text").filter("cast(id AS bigint) < 700")
+    assert got.count() == 700 and got.exceptAll(wanted).isEmpty()
