@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from moodlake.functions.predictions import EMPTY_TEXT, unscored
 from moodlake.functions.text import is_blank
-from moodlake.session import scratch_scope, scratch_table
+from moodlake.session import scratch_scope, scratch_table, spread
 from moodlake.operators.scoring import with_score
 
 
@@ -113,12 +113,12 @@ def fit_classifier(
 ) -> tuple[PipelineModel, float]:
     """The fitted model and the seconds it took.
 
-    Three stages read the rows. Text and label are stored once in the shared scratch folder, so that the source is read
-    and cleaned once, and removed when the model is there.
+    Three stages read the rows. Text and label are stored once in the shared scratch folder, in files for all
+    cores, so that the source is read and cleaned once, and removed when the model is there.
     """
     started = time.monotonic()
     with scratch_scope(df.sparkSession):
-        rows = scratch_table(trainable(df, text, label), "training")
+        rows = scratch_table(spread(trainable(df, text, label)), "training")
         model = _fit(rows, params, text, label)
     return model, time.monotonic() - started
 

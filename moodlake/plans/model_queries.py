@@ -9,9 +9,10 @@ from moodlake.functions.predictions import LABELS
 from moodlake.functions.text import clean_text
 from moodlake.operators import classifier, evaluation
 from moodlake.operators.split import hash_split
-from moodlake.plans.posts_view import LABELLED_SQL, labelled, table
+from moodlake.plans.posts_view import LABELLED_SQL, labelled, labelled_from, spread_posts, table
 from moodlake.plans.registry import query
 from moodlake.plans.text_queries import IDF_SQL, words_sql
+from moodlake.session import scratch_table
 
 _PAIR = ("sentiment_label", "model_label")
 
@@ -108,27 +109,35 @@ def _(spark, sf_dir):
 _MODELS: dict[tuple[str, str], PipelineModel] = {}
 
 
-def _fitted(spark, sf_dir) -> PipelineModel:
+def stored_labelled(spark, sf_dir):
+    """Labelled posts, cleaned once and in many tasks, for jobs that split and read them several times."""
+    rows = labelled_from(spread_posts(spark, sf_dir)).select("id", "cleaned_text", "sentiment_label", "inference_error")
+    return scratch_table(rows, "labelled")
+
+
+def _fitted(spark, sf_dir, rows) -> PipelineModel:
     """The classifier fitted on the train side of all posts, once per session."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
-        _MODELS[key], _seconds = classifier.fit_classifier(hash_split(labelled(spark, sf_dir))[0])
+        _MODELS[key], _seconds = classifier.fit_classifier(hash_split(rows)[0])
     return _MODELS[key]
 
 
 @query("train_predict")
 def train_predict(spark, sf_dir):
     """Predictions for the test side."""
-    _train, test = hash_split(labelled(spark, sf_dir))
-    predictions = classifier.predict(_fitted(spark, sf_dir), test)
+    rows = stored_labelled(spark, sf_dir)
+    _train, test = hash_split(rows)
+    predictions = classifier.predict(_fitted(spark, sf_dir, rows), test)
     return predictions.select("id", "sentiment_label", "predicted_label", "prediction")
 
 
 @query("train_evaluate")
 def _(spark, sf_dir):
     """Per-class report of the classifier on the test side."""
-    model = _fitted(spark, sf_dir)
-    _train, test = hash_split(labelled(spark, sf_dir))
+    rows = stored_labelled(spark, sf_dir)
+    model = _fitted(spark, sf_dir, rows)
+    _train, test = hash_split(rows)
     predictions = classifier.predict(model, classifier.known_labels_only(test, model))
     return evaluation.class_report(predictions, "sentiment_label", "predicted_label", include_unseen=True)
 
@@ -136,8 +145,8 @@ def _(spark, sf_dir):
 @query("local_model_scoring")
 def _(spark, sf_dir):
     """The fitted model scores all posts in the remote model's place."""
-    rows = labelled(spark, sf_dir).select("id", "cleaned_text")
-    scored = classifier.score_with_model(_fitted(spark, sf_dir), rows)
+    rows = stored_labelled(spark, sf_dir)
+    scored = classifier.score_with_model(_fitted(spark, sf_dir, rows), rows.select("id", "cleaned_text"))
     return scored.select("id", "sentiment_label", "confidence_score", "inference_error")
 
 

@@ -83,12 +83,12 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """``df`` dealt out evenly to as many tasks as the session's shuffles have.
+    """``df`` dealt out evenly, three tasks per core.
 
     Scans go by bytes: a compact table is read by few tasks, however much work its rows are. Spark moves filters that follow
     below the exchange, so store what is dear before filtering by it.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(3 * df.sparkSession.sparkContext.defaultParallelism)
 
 
 def scratch_table(df: DataFrame, name: str) -> DataFrame:

@@ -111,3 +111,21 @@ def test_many_buckets_are_not_sliced(spark, monkeypatch, data):
     monkeypatch.setattr(classifier, "MOST_SLICED", 3)
     fitted, _seconds = classifier.fit_classifier(data, SMALL)
     assert fitted.stages[4].numFeatures == SMALL.features
+
+
+def test_training_rows_of_one_file_are_read_by_several_tasks(spark, folder, data, monkeypatch):
+    data.coalesce(1).write.parquet(folder + "/one")
+    parts, fit = [], classifier._fit
+    monkeypatch.setattr(classifier, "_fit", lambda rows, *rest: parts.append(rows.rdd.getNumPartitions()) or fit(rows, *rest))
+    classifier.fit_classifier(spark.read.parquet(folder + "/one"), SMALL)
+    assert parts[0] > 1
+
+
+def test_posts_for_training_are_cleaned_once_and_in_several_tasks(spark):
+    from moodlake.plans.model_queries import stored_labelled
+    from moodlake.plans.posts_view import labelled
+
+    rows, plain = stored_labelled(spark, "/root/testdata/sf0.001"), labelled(spark, "/root/testdata/sf0.001")
+    assert len(rows.inputFiles()) > 1
+    assert rows.exceptAll(plain.select(*rows.columns)).isEmpty() and rows.count() == plain.count()
+    assert "regexp_replace" not in rows.filter("sentiment_label <> ''")._jdf.queryExecution().toString()
