@@ -12,6 +12,7 @@ from moodlake.operators.posts import clean_posts, stored_shape
 from moodlake.operators.scoring import RateLimited, RetryPolicy, keyword_scorer, score
 from moodlake.operators.split import hash_split
 from moodlake.plans.ingest_queries import _STRIPPED, _raw, _write_csv
+from moodlake.plans.model_queries import stored_labelled
 from moodlake.plans.posts_view import LABELLED_SQL, POSTS_SQL, labelled, posts, table
 from moodlake.plans.registry import query
 from moodlake.plans.scoring_queries import _POSTS_SCORED, _result
@@ -146,7 +147,7 @@ _SMALL = classifier.ClassifierParams(features=2048, max_iter=40)
 
 def _taught(spark, sf_dir):
     label = F.element_at(F.array(*map(F.lit, _TAUGHT)), (F.col("id").cast("long") % 8 + 1).cast("int"))
-    rows = labelled(spark, sf_dir).select("id", "cleaned_text", label.alias("sentiment_label"))
+    rows = stored_labelled(spark, sf_dir).select("id", "cleaned_text", label.alias("sentiment_label"))
     return rows.withColumn("filled", F.trim("cleaned_text") != "")
 
 
